@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from ._store import narrow, partitions, stage
 
 #: Texts of a block, in characters, and distinct words of a block, at most (one document more).
-BLOCK_CHARS, BLOCK_WORDS = 16_000_000, 400_000
+BLOCK_CHARS, BLOCK_WORDS = 32_000_000, 600_000
 #: Characters of one packed row of positions, at most (one document more).
 PACK_CHARS = 1_000_000
-#: Hash buckets in which distinct words meet. Should grow with the corpus: distinct words of a bucket are held in memory.
-BUCKETS = 4096
+#: Hash buckets in which distinct words meet. Few, for words sorted in a bucket of a block then pack well; more for a larger corpus.
+BUCKETS = 512
 #: Words whose ids a bucket remembers; beyond it the memory starts anew, which costs time only.
 REMEMBERED = 500_000
+#: Between words: a byte that UTF-8 never has.
+SEPARATOR = b"\xff"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,60 +46,76 @@ def _unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
-_BLOCKS = "block bigint, bucket int, keys array<bigint>, lens array<int>, body binary"
+def _pack_positions(at: np.ndarray, code: np.ndarray) -> list[bytes]:
+    """A byte for each of the block's most frequent words, and the index apart for the rest."""
+    import zstandard
 
+    short = code[at]
+    return [zstandard.ZstdCompressor(level=3).compress(short.tobytes()), _pack(at[short == 255])]
 
-def _blocks(pattern: str, buckets: int, block_chars: int, block_words: int, pack_chars: int):
-    """Rows of documents (bucket null): keys, words of each, packed word indexes. Rows of words: their indexes as lens, words as body."""
 
+def _unpack_positions(short: bytes, rest: bytes, top: np.ndarray) -> np.ndarray:
+    import zstandard
+
+    short = np.frombuffer(zstandard.ZstdDecompressor().decompress(short), np.uint8)
+    at = np.concatenate([top, np.zeros(256 - len(top), np.uint32)])[short]
+    at[short == 255] = _unpack(rest)
+    return at.astype(np.int64)
+
+
+_BLOCKS = "block bigint, bucket int, keys array<bigint>, lens array<int>, top array<int>, body array<binary>"
+_BLOCKS_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("keys", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32())), ("top", pa.list_(pa.int32())), ("body", pa.list_(pa.binary()))])
+
+
+def _block(number: int, docs: list, words: dict[str, int], buckets: int, pack_chars: int):
+    """Rows of a block. Its words are numbered by bucket, then by bytes.
+
+    With a bucket: the bucket's words. Without: documents' keys, pre-tokens of each, and the packed numbers of these.
+    """
+    import xxhash
+    import zstandard
+
+    by = sorted((xxhash.xxh3_64_intdigest(b := w.encode()) % buckets, b, i) for w, i in words.items())
+    number_of = np.empty(len(by), np.uint32)
+    number_of[[i for _, _, i in by]] = np.arange(len(by), dtype=np.uint32)
+    count = np.bincount(np.concatenate([d[1] for d in docs]) if docs else np.zeros(0, np.int64), minlength=len(by))
+    top = number_of[np.argsort(-count, kind="stable")[:255]]
+    code = np.full(len(by), 255, np.uint8)
+    code[top] = np.arange(len(top), dtype=np.uint8)
+    zip_, rows, k = zstandard.ZstdCompressor(level=3), [], 0
+    while k < len(docs):
+        first, chars = k, 0
+        while k < len(docs) and (k == first or chars + docs[k][2] <= pack_chars):
+            chars += docs[k][2]
+            k += 1
+        some = docs[first:k]
+        rows.append({"block": number, "bucket": None, "keys": [d[0] for d in some], "lens": [len(d[1]) for d in some], "top": top.tolist(), "body": _pack_positions(number_of[np.concatenate([d[1] for d in some])], code)})
+    yield pa.RecordBatch.from_pylist(rows, _BLOCKS_ARROW)
+    ends = np.flatnonzero(np.diff([b for b, _, _ in by], prepend=-1, append=-1)).tolist()
+    for some in (list(zip(ends, ends[1:]))[k : k + 128] for k in range(0, len(ends), 128)):
+        yield pa.RecordBatch.from_pylist([{"block": number, "bucket": by[a][0], "keys": None, "lens": None, "top": None, "body": [zip_.compress(SEPARATOR.join(w for _, w, _ in by[a:b]))]} for a, b in some], _BLOCKS_ARROW)
+
+
+def _blocks(pattern: str, buckets: int, block_chars: int, block_words: int, pack_chars: int):
     def run(batches):
         import regex
-        import xxhash
-        import zstandard
         from pyspark import TaskContext
 
-        split, zip_ = regex.compile(pattern).findall, zstandard.ZstdCompressor(level=3)
-        schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("keys", pa.list_(pa.int64())), ("lens", pa.list_(pa.int32())), ("body", pa.binary())])
-        block, words, chars = TaskContext.get().partitionId() << 32, {}, 0
-        keys, lens, at, pack = [], [], [], 0
-
-        def documents():
-            return pa.RecordBatch.from_pylist([{"block": block, "bucket": None, "keys": keys, "lens": lens, "body": _pack(np.array(at, np.uint32))}], schema)
-
-        def dictionary():
-            by = {}
-            for w, i in words.items():
-                by.setdefault(xxhash.xxh3_64_intdigest(b := w.encode()) % buckets, []).append((b, i))
-            for some in (list(by)[k : k + 256] for k in range(0, len(by), 256)):
-                rows = []
-                for k in some:
-                    own = sorted(by[k])
-                    rows.append({"block": block, "bucket": k, "keys": None, "lens": [i for _, i in own], "body": zip_.compress(b"".join(len(b).to_bytes(4, "little") for b, _ in own) + b"".join(b for b, _ in own))})
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
+        split = regex.compile(pattern).findall
+        number, docs, words, chars = TaskContext.get().partitionId() << 32, [], {}, 0
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
                 found = split(text)
-                for w in found:
-                    if w not in words:
-                        words[w] = len(words)
-                at.extend(map(words.__getitem__, found))
-                keys.append(key)
-                lens.append(len(found))
-                chars += len(text)
-                pack += len(text) + 16
-                full = chars > block_chars or len(words) > block_words
-                if full or pack > pack_chars:
-                    yield documents()
-                    keys, lens, at, pack = [], [], [], 0
-                if full:
-                    yield from dictionary()
-                    block, words, chars = block + 1, {}, 0
-        if keys:
-            yield documents()
-        if words or chars:
-            yield from dictionary()
+                for w in set(found).difference(words):
+                    words[w] = len(words)
+                docs.append((key, np.fromiter(map(words.__getitem__, found), np.uint32, len(found)), len(text)))
+                chars += len(text) + 16
+                if chars > block_chars or len(words) > block_words:
+                    yield from _block(number, docs, words, buckets, pack_chars)
+                    number, docs, words, chars = number + 1, [], {}, 0
+        if docs:
+            yield from _block(number, docs, words, buckets, pack_chars)
 
     return run
 
@@ -109,26 +127,23 @@ def _encoder(ranks, pattern: str, remembered: int):
         import tiktoken
         import zstandard
 
-        # a space for a pattern: pieces come ready-made, and encode_single_piece doesn't split
         piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._core_bpe.encode_single_piece
         unzip, known = zstandard.ZstdDecompressor(), {}
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                n, body = len(row["lens"]), unzip.decompress(row["body"])
-                ends = 4 * n + np.concatenate([[0], np.cumsum(np.frombuffer(body, "<u4", n), dtype=np.int64)])
+            for block, bucket, body in zip(*(batch.column(k).to_pylist() for k in range(3))):
                 ids, sizes = [], []
-                for a, b in zip(ends.tolist(), ends[1:].tolist()):
-                    got = known.get(w := body[a:b])
+                for w in unzip.decompress(body[0]).split(SEPARATOR):
+                    got = known.get(w)
                     if got is None:
                         if len(known) >= remembered:
                             known.clear()
                         got = known[w] = piece(w)
                     ids += got
                     sizes.append(len(got))
-                out.append({"block": row["block"], "words": _pack(np.array(row["lens"], np.uint32)), "sizes": _pack(np.array(sizes, np.uint32)), "ids": _pack(np.array(ids, np.uint32))})
+                out.append({"block": block, "bucket": bucket, "sizes": _pack(np.array(sizes, np.uint32)), "ids": _pack(np.array(ids, np.uint32))})
             if out:
-                yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), ("words", pa.binary()), ("sizes", pa.binary()), ("ids", pa.binary())]))
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())]))
 
     return run
 
@@ -140,15 +155,14 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
-    """One block: the documents' positions against the ids of its words."""
-    parts = [(_unpack(a), _unpack(b), _unpack(c)) for a, b, c in zip(*(words[n].to_pylist() for n in ("words", "sizes", "ids")))] if words.num_rows else []
-    ids = np.concatenate([p[2] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int32)
-    order, size = (np.concatenate([p[k] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64) for k in (0, 1))
-    starts, sizes = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
-    sizes[order], starts[order] = size, np.cumsum(size) - size
+    """One block: the documents' positions against the ids of its words, which are numbered by bucket."""
+    words = words.sort_by("bucket")
+    sizes, ids = ([_unpack(x) for x in words[n].to_pylist()] or [np.zeros(0, np.uint32)] for n in ("sizes", "ids"))
+    ids, sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes).astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
     keys, out = [], []
-    for key, lens, body in zip(*(documents[n].to_pylist() for n in ("keys", "lens", "body"))):
-        at = _unpack(body)
+    for key, lens, top, body in zip(*(documents[n].to_pylist() for n in ("keys", "lens", "top", "body"))):
+        at = _unpack_positions(*body, np.array(top, np.uint32))
         flat = ids[_spread(starts[at], sizes[at])]
         ends = np.concatenate([[0], np.cumsum(sizes[at])])[np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)]
         keys.append(pa.array(key, pa.int64()))
@@ -166,9 +180,9 @@ def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS,
     sent = spark.sparkContext.broadcast(ranks)
     rows = narrow(docs, doc_id="bigint", text="string").mapInArrow(_blocks(pattern, buckets, block_chars, block_words, pack_chars), _BLOCKS)
     rows = stage(rows, "bpe-blocks", spark)
-    words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "lens", "body").repartition(partitions(spark), "bucket")
-    words = words.mapInArrow(_encoder(sent, pattern, REMEMBERED), "block bigint, words binary, sizes binary, ids binary")
-    documents = rows.where(F.col("bucket").isNull()).select("block", "keys", "lens", "body")
+    words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "body").repartition(partitions(spark), "bucket")
+    words = words.mapInArrow(_encoder(sent, pattern, REMEMBERED), "block bigint, bucket int, sizes binary, ids binary")
+    documents = rows.where(F.col("bucket").isNull()).select("block", "keys", "lens", "top", "body")
     return documents.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_reassemble, "doc_id bigint, ids array<int>")
 
 
