@@ -1,8 +1,8 @@
 """Queries of this package and their SQL, for the driver's registry."""
 
-from . import q_bpe
+from . import q_bpe, q_toxicity
 
-_MODULES = (q_bpe,)
+_MODULES = (q_toxicity, q_bpe)
 
 
 def queries() -> dict:
