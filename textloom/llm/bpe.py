@@ -23,6 +23,8 @@ PACK_CHARS = 1_000_000
 BUCKETS = 512
 #: Words whose ids a bucket remembers; beyond it the memory starts anew, which costs time only.
 REMEMBERED = 500_000
+#: Levels of frequency in a block.
+LEVELS = 7
 #: Between words: a byte that UTF-8 never has.
 SEPARATOR = b"\xff"
 
@@ -68,17 +70,21 @@ _BLOCKS_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("keys
 
 
 def _block(number: int, docs: list, words: dict[str, int], buckets: int, pack_chars: int):
-    """Rows of a block. Its words are numbered by bucket, then by bytes.
+    """Rows of a block. Its words are numbered by level (of their count's size, frequent first), bucket and bytes.
 
-    With a bucket: the bucket's words. Without: documents' keys, pre-tokens of each, and the packed numbers of these.
+    With a bucket: the bucket's words, and as lens how many are of each level. Without: documents' keys, pre-tokens of
+    each, and the packed numbers of these.
     """
     import xxhash
     import zstandard
 
-    by = sorted((xxhash.xxh3_64_intdigest(b := w.encode()) % buckets, b, i) for w, i in words.items())
+    count = np.bincount(np.concatenate([d[1] for d in docs]), minlength=len(words))
+    level = LEVELS - 1 - np.minimum(np.log2(np.maximum(count, 1)).astype(np.int64), LEVELS - 1)
+    by = sorted((xxhash.xxh3_64_intdigest(b := w.encode()) % buckets, level_, b, i) for (w, i), level_ in zip(words.items(), level.tolist()))
+    words.clear()
+    order = np.array([i for _, _, _, i in by], np.int64)
     number_of = np.empty(len(by), np.uint32)
-    number_of[[i for _, _, i in by]] = np.arange(len(by), dtype=np.uint32)
-    count = np.bincount(np.concatenate([d[1] for d in docs]) if docs else np.zeros(0, np.int64), minlength=len(by))
+    number_of[order[np.argsort(level[order], kind="stable")]] = np.arange(len(by), dtype=np.uint32)
     top = number_of[np.argsort(-count, kind="stable")[:255]]
     code = np.full(len(by), 255, np.uint8)
     code[top] = np.arange(len(top), dtype=np.uint8)
@@ -91,9 +97,9 @@ def _block(number: int, docs: list, words: dict[str, int], buckets: int, pack_ch
         some = docs[first:k]
         rows.append({"block": number, "bucket": None, "keys": [d[0] for d in some], "lens": [len(d[1]) for d in some], "top": top.tolist(), "body": _pack_positions(number_of[np.concatenate([d[1] for d in some])], code)})
     yield pa.RecordBatch.from_pylist(rows, _BLOCKS_ARROW)
-    ends = np.flatnonzero(np.diff([b for b, _, _ in by], prepend=-1, append=-1)).tolist()
+    ends = np.flatnonzero(np.diff([x[0] for x in by], prepend=-1, append=-1)).tolist()
     for some in (list(zip(ends, ends[1:]))[k : k + 128] for k in range(0, len(ends), 128)):
-        yield pa.RecordBatch.from_pylist([{"block": number, "bucket": by[a][0], "keys": None, "lens": None, "top": None, "body": [zip_.compress(SEPARATOR.join(w for _, w, _ in by[a:b]))]} for a, b in some], _BLOCKS_ARROW)
+        yield pa.RecordBatch.from_pylist([{"block": number, "bucket": by[a][0], "keys": None, "lens": np.bincount([x[1] for x in by[a:b]], minlength=LEVELS).tolist(), "top": None, "body": [zip_.compress(SEPARATOR.join(x[2] for x in by[a:b]))]} for a, b in some], _BLOCKS_ARROW)
 
 
 def _blocks(pattern: str, buckets: int, block_chars: int, block_words: int, pack_chars: int):
@@ -131,7 +137,7 @@ def _encoder(ranks, pattern: str, remembered: int):
         unzip, known = zstandard.ZstdDecompressor(), {}
         for batch in batches:
             out = []
-            for block, bucket, body in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for block, bucket, lens, body in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 ids, sizes = [], []
                 for w in unzip.decompress(body[0]).split(SEPARATOR):
                     got = known.get(w)
@@ -141,9 +147,9 @@ def _encoder(ranks, pattern: str, remembered: int):
                         got = known[w] = piece(w)
                     ids += got
                     sizes.append(len(got))
-                out.append({"block": block, "bucket": bucket, "sizes": _pack(np.array(sizes, np.uint32)), "ids": _pack(np.array(ids, np.uint32))})
+                out.append({"block": block, "bucket": bucket, "lens": lens, "sizes": _pack(np.array(sizes, np.uint32)), "ids": _pack(np.array(ids, np.uint32))})
             if out:
-                yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("ids", pa.binary())]))
+                yield pa.RecordBatch.from_pylist(out, pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("lens", pa.list_(pa.int32())), ("sizes", pa.binary()), ("ids", pa.binary())]))
 
     return run
 
@@ -155,11 +161,13 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
-    """One block: the documents' positions against the ids of its words, which are numbered by bucket."""
+    """One block: the documents' positions against the ids of its words, which come by bucket and are numbered by level first."""
     words = words.sort_by("bucket")
     sizes, ids = ([_unpack(x) for x in words[n].to_pylist()] or [np.zeros(0, np.uint32)] for n in ("sizes", "ids"))
     ids, sizes = np.concatenate(ids).astype(np.int32), np.concatenate(sizes).astype(np.int64)
-    starts = np.cumsum(sizes) - sizes
+    level = np.repeat(np.tile(np.arange(LEVELS), words.num_rows), np.array(words["lens"].to_pylist(), np.int64).ravel())
+    order = np.argsort(level, kind="stable")
+    starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
     keys, out = [], []
     for key, lens, top, body in zip(*(documents[n].to_pylist() for n in ("keys", "lens", "top", "body"))):
         at = _unpack_positions(*body, np.array(top, np.uint32))
@@ -180,8 +188,8 @@ def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS,
     sent = spark.sparkContext.broadcast(ranks)
     rows = narrow(docs, doc_id="bigint", text="string").mapInArrow(_blocks(pattern, buckets, block_chars, block_words, pack_chars), _BLOCKS)
     rows = stage(rows, "bpe-blocks", spark)
-    words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "body").repartition(partitions(spark), "bucket")
-    words = words.mapInArrow(_encoder(sent, pattern, REMEMBERED), "block bigint, bucket int, sizes binary, ids binary")
+    words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "lens", "body").repartition(partitions(spark), "bucket")
+    words = words.mapInArrow(_encoder(sent, pattern, REMEMBERED), "block bigint, bucket int, lens array<int>, sizes binary, ids binary")
     documents = rows.where(F.col("bucket").isNull()).select("block", "keys", "lens", "top", "body")
     return documents.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_reassemble, "doc_id bigint, ids array<int>")
 
