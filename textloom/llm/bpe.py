@@ -178,11 +178,12 @@ def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.chunked_array(keys, pa.int64()), "ids": pa.chunked_array(out, pa.list_(pa.int32()))})
 
 
-def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS, block_chars: int = BLOCK_CHARS, block_words: int = BLOCK_WORDS, pack_chars: int = PACK_CHARS):
+def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS, block_chars: int = BLOCK_CHARS, block_words: int = BLOCK_WORDS, pack_chars: int = PACK_CHARS, finish=None, schema: str = "doc_id bigint, ids array<int>"):
     """(doc_id, ids array<int>): each match of pattern in a whole text, encoded by ranks; no special tokens.
 
     A null or empty text gives no ids. Rows with a null or repeated doc_id give a row each. Other columns don't matter.
-    ranks goes to the executors once: it has the vocabulary's size.
+    ranks goes to the executors once: it has the vocabulary's size. finish, if given, turns each block's table of these
+    columns into one of the given schema, in the process that made it.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(ranks)
@@ -191,7 +192,7 @@ def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS,
     words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "lens", "body").repartition(partitions(spark), "bucket")
     words = words.mapInArrow(_encoder(sent, pattern, REMEMBERED), "block bigint, bucket int, lens array<int>, sizes binary, ids binary")
     documents = rows.where(F.col("bucket").isNull()).select("block", "keys", "lens", "top", "body")
-    return documents.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(_reassemble, "doc_id bigint, ids array<int>")
+    return documents.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(lambda d, w: finish(_reassemble(d, w)) if finish else _reassemble(d, w), schema)
 
 
 def _joined(table: pa.Array, ids: pa.Array, ends: np.ndarray):
@@ -227,22 +228,36 @@ def decode(encoded, ranks: dict[bytes, int]):
     return narrow(encoded, doc_id="bigint", ids="array<int>").mapInArrow(run, "doc_id bigint, bytes binary")
 
 
+_DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+_tables: dict[int, tuple[pa.Array, pa.Array]] = {}
+
+
+def _digest(ranks, some):
+    """Of rows (doc_id, ids), a few hundred at a time: how many ids, digests of their text and of the bytes decoded from them."""
+    from hashlib import sha256
+
+    if id(ranks) not in _tables:
+        table = _token_table(ranks)
+        _tables[id(ranks)] = table, pa.array([b"%d," % i for i in range(len(table))], pa.large_binary())
+    table, numbers = _tables[id(ranks)]
+    for batch in some:
+        for k in range(0, batch.num_rows, 512):
+            part = batch.slice(k, 512)
+            flat, ends = _ids_of(part.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(np.diff(ends), pa.int64()), pa.array([sha256(x[:-1]).hexdigest() for x in _joined(numbers, flat, ends)], pa.string()), pa.array([sha256(x).hexdigest() for x in _joined(table, flat, ends)], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
+
+
 def digests(encoded, ranks: dict[bytes, int]):
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encode()'s rows; the bytes are decoded from the ids as in decode()."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encode()'s rows; the bytes are decoded from the ids by the token-byte table, as in decode()."""
     sent = encoded.sparkSession.sparkContext.broadcast(ranks)
+    return narrow(encoded, doc_id="bigint", ids="array<int>").mapInArrow(lambda batches: _digest(sent.value, batches), _DIGESTS)
 
-    def run(batches):
-        from hashlib import sha256
 
-        table = _token_table(sent.value)
-        numbers = pa.array([b"%d," % i for i in range(len(table))], pa.large_binary())
-        for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                flat, ends = _ids_of(part.column(1))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(ends), pa.int64()), pa.array([sha256(x[:-1]).hexdigest() for x in _joined(numbers, flat, ends)]), pa.array([sha256(x).hexdigest() for x in _joined(table, flat, ends)])],
-                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
-
-    return narrow(encoded, doc_id="bigint", ids="array<int>").mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+def encode_digests(docs, ranks: dict[bytes, int], pattern: str, **how):
+    """digests(encode(docs, ...)), each block's ids digested where they are made."""
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)
+    empty = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    return encode(docs, ranks, pattern, finish=lambda t: pa.Table.from_batches(_digest(sent.value, t.to_batches()), empty), schema=_DIGESTS, **how)

@@ -10,7 +10,7 @@ def op10_byte_bpe(spark, sf_dir: str):
     import public_tokenizers
 
     ranks = bpe.load_ranks(public_tokenizers.path(VOCABULARY))
-    return bpe.digests(bpe.encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN), ranks)
+    return bpe.encode_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"), ranks, public_tokenizers.PATTERN)
 
 
 QUERIES = {"op10_byte_bpe": op10_byte_bpe}
