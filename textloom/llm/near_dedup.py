@@ -20,7 +20,7 @@ MISS = 1e-7
 #: Signature values in a band: half as many permutations.
 ROWS = 6
 #: Sets and shingles of a block, at most on average.
-BLOCK_SETS, BLOCK_SHINGLES = 512, 1_000_000
+BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
 #: Band values that a task holds to join its own documents before the shuffle; beyond it the memory starts anew.
 HELD = 1_000_000
 
@@ -231,7 +231,8 @@ def near_duplicates(docs, words: int = 5, num: int = 80, den: int = 100, rows: i
     members = stage(reps.join(groups, "node"), "near-members", spark)
     sizes = members.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("chunks"))
     wanted = stage(members.join(sizes, "grp").select(F.col("doc_id").alias("wanted_id"), "node", "grp", "chunks", "s1", "s2"), "near-wanted", spark)
-    texts = narrow(docs, doc_id="bigint", text="string").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "node", "grp", "chunks", "s1", "s2")
+    # merge: else a small wanted would be broadcast, and the same step would be another one on a larger input
+    texts = narrow(docs, doc_id="bigint", text="string").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "node", "grp", "chunks", "s1", "s2")
 
     def full(batches):
         shingle = Shingler(words)
