@@ -29,12 +29,6 @@ def matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """For each row of scores the columns of its k highest, ties to the smaller id. ids: of the columns, or of each cell."""
-    ids = np.broadcast_to(ids, scores.shape)
-    return np.lexsort((ids, -scores), axis=1)[:, :k]
-
-
 def top(found, k: int):
     """(query_id, rank, vec_id, score): of each query's rows the k highest scores, ties to the smaller vec_id."""
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

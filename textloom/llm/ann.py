@@ -21,6 +21,8 @@ SAMPLE = 20_000
 LIST, LISTS, PIECE = 512, 16_384, 2_048
 #: Candidates of a piece are ranked again if they come within so many standard errors of its kth approximate score.
 ERRORS = 4.0
+#: Sampled rows whose kth best score is a query's lower bound: what can't reach it is not passed on.
+BOUNDING = 8_192
 #: A query visits so many lists that in the sample so large a share of true neighbours lies in them; measured on so many queries.
 SHARE, ASKED = 0.97, 500
 #: Codebooks, and entries of each.
@@ -107,7 +109,7 @@ def _search(sent, k: int, errors: float):
     def run(key, left, right):
         index = sent.value
         queries, ids, data, data_ids = matrix(left["v"]), left["vec_id"].to_numpy(), matrix(right["v"]), right["vec_id"].to_numpy()
-        out = []
+        least, out = left["low"].to_numpy(), []
         if len(ids) and len(data_ids):
             order = np.argsort(data_ids, kind="stable")
             data, data_ids = data[order], data_ids[order]
@@ -122,9 +124,10 @@ def _search(sent, k: int, errors: float):
                     rough += table[:, codes[:, part]]
                 rough[own[:, None] == data_ids] = -np.inf
                 kth = np.partition(rough, max(0, len(data) - k), 1)[:, max(0, len(data) - k)]
-                for row, (low, v, name) in enumerate(zip(kth - margin[i : i + 128], q, own)):
+                for row, (low, v, name, reach) in enumerate(zip(kth - margin[i : i + 128], q, own, least[i : i + 128])):
                     some = np.flatnonzero((rough[row] >= low) & (data_ids != name))
                     score = data[some] @ v
+                    some, score = some[score >= reach], score[score >= reach]
                     at = np.lexsort((data_ids[some], -score))[:k]
                     out.append((np.full(len(at), name), data_ids[some[at]], score[at]))
         a, b, c = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
@@ -143,16 +146,27 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
     """
     spark = vectors.sparkSession
     rows = stage(valid(vectors, nonzero=True), "ann-vectors", spark)
-    drawn = [r.v for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").collect()]
-    dims = np.array([len(v) for v in drawn] or [1])
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+    dims = np.array([len(r.v) for r in drawn] or [1])
     dim = int(np.bincount(dims).argmax())
     n = rows.where(F.size("v") == dim).count()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     lists = min(LISTS, max(1, ceil(n / list_rows)))
-    index = fit(np.array([v for v in drawn if len(v) == dim], float), lists, share=share, k=k, seed=seed)
+    drawn = [r for r in drawn if len(r.v) == dim]
+    index = fit(np.array([r.v for r in drawn], float), lists, share=share, k=k, seed=seed)
     visited = probes or index.probes
-    sent = spark.sparkContext.broadcast(index)  # of a size that the parameters bound
+    sent = spark.sparkContext.broadcast(index)  # of a size that the parameters bound, like the next
+    bounding = spark.sparkContext.broadcast((np.array([r.vec_id for r in drawn[:BOUNDING]]), np.array([r.v for r in drawn[:BOUNDING]], float)))
+
+    def bounds(ids, x):
+        names, v = bounding.value
+        if len(names) <= k:
+            return np.full(len(ids), -np.inf)
+        products = x @ v.T
+        products[ids[:, None] == names] = -np.inf
+        low = np.partition(products, len(names) - k, 1)[:, len(names) - k]
+        return low - 1e-9 * (np.abs(low) + 1)
 
     def encoded(batches):
         for batch in batches:
@@ -175,12 +189,13 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
             near = held[np.argsort(-(x @ sent.value.centers[held].T), 1, kind="stable")[:, :visited]]
             for i in range(0, len(x), 1000):
                 some = near[i : i + 1000]
+                low = bounds(batch.column(0).to_numpy()[i : i + 1000], x[i : i + 1000])
                 flat, times = some.ravel(), pieces[some.ravel()]
                 at = np.repeat(np.repeat(np.arange(i, i + len(some)), some.shape[1]), times)
                 part = np.concatenate([np.arange(t) for t in times])
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(flat, times).astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at))], ["list", "piece", "vec_id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(flat, times).astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(low[at - i])], ["list", "piece", "vec_id", "v", "low"])
 
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(visits, "list int, piece int, vec_id bigint, v array<double>")
+    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(visits, "list int, piece int, vec_id bigint, v array<double>, low double")
     counts = spark.createDataFrame([(i, int(p)) for i, p in enumerate(pieces) if p], "list int, pieces int")
     data = indexed.join(F.broadcast(counts), "list")  # broadcast: a row for each list
     data = data.withColumn("piece", F.pmod(F.xxhash64("vec_id"), "pieces").cast("int")).select("list", "piece", "vec_id", "v", "code")

@@ -13,10 +13,12 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ._store import stage
-from ._vectors import best, matrix, top, valid
+from ._vectors import matrix, top, valid
 
 #: Vectors and queries of a block on average; points of a leaf at most, unless they are equal.
 BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF = 8192, 4096, 128, 32
+#: By which the scale falls from one level of a tree to the next.
+BASE = 1.3
 
 
 class Node:
@@ -27,32 +29,35 @@ class Node:
         self.norm = float(np.sqrt(center @ center))
 
 
-def build(x: np.ndarray, leaf: int, points: np.ndarray | None = None) -> Node:
+def build(x: np.ndarray, leaf: int, points: np.ndarray | None = None, squares: np.ndarray | None = None) -> Node:
     """The cover tree of rows of x: at scale s a node's children are points more than s apart that cover its points within s.
 
-    Scales halve from level to level. A node becomes a leaf if it has few points, or none apart.
+    Scales fall by BASE from level to level. A node is a leaf if it has few points, or if so many of them lie apart that
+    a further level would hold little more than one a node.
     """
     points = np.arange(len(x)) if points is None else points
-    # the point nearest to the mean, for small radii
+    squares = (x * x).sum(1) if squares is None else squares
+
+    def distances(some, center):
+        # a little more than by rounding, as bounds must hold
+        return np.sqrt(np.maximum(squares[some] + squares[center] - 2 * (x[some] @ x[center]), 0) + 1e-12 * (squares[some] + squares[center]))
+
     mean = x[points].mean(0)
-    first = points[np.argmin(((x[points] - mean) ** 2).sum(1))]
-    far = np.sqrt(((x[points] - x[first]) ** 2).sum(1))
-    radius = float(far.max())
-    if len(points) <= leaf or radius == 0:
+    first = points[np.argmin(squares[points] - 2 * (x[points] @ mean))]
+    distance = distances(points, first)
+    radius = float(distance.max())
+    if len(points) <= leaf or not np.ptp(x[points], axis=0).any():
         return Node(x[first], radius, points, [])
-    scale, children, center, distance, left = radius / 2, [], first, far, points
+    children, left = [], points
     while len(left):
-        near = distance <= scale
-        own = left[near]
-        children.append((center, own))
-        left, distance = left[~near], None
+        near = distance <= radius / BASE
+        children.append(left[near])
+        left = left[~near]
         if len(left):
-            center = left[0]
-            distance = np.sqrt(((x[left] - x[center]) ** 2).sum(1))
-    # where nearly all points lie apart, a further level would hold one point a node
-    if len(children) > len(points) // 4:
-        return Node(x[first], radius, points, [])
-    return Node(x[first], radius, points, [build(x, leaf, own) for _, own in children])
+            if len(children) > max(16, len(points) // 32):
+                return Node(x[first], radius, points, [])
+            distance = distances(left, left[0])
+    return Node(x[first], radius, points, [build(x, leaf, own, squares) for own in children])
 
 
 def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_ids: np.ndarray, k: int, stats: dict | None = None):
@@ -60,8 +65,6 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     scores, ids = np.full((len(queries), k), -np.inf), np.full((len(queries), k), -1, np.int64)
     if not len(queries) or not len(data):
         return scores, ids
-    order = np.argsort(data_ids, kind="stable")
-    data, data_ids = data[order], data_ids[order]
     roots = build(queries, QUERY_LEAF), build(data, LEAF)
     stats = {} if stats is None else stats
 
@@ -78,14 +81,16 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
     def compare(q: Node, d: Node) -> None:
         stats["pairs"] = stats.get("pairs", 0) + len(q.points) * len(d.points)
         new = queries[q.points] @ data[d.points].T
-        own = data_ids[d.points]
-        new[query_ids[q.points][:, None] == own] = -np.inf
-        # columns are sorted by id, so that only the first k of equal scores count
-        some = best(new, own, k)
-        both = np.hstack([scores[q.points], np.take_along_axis(new, some, 1)])
-        named = np.hstack([ids[q.points], np.where(np.isneginf(np.take_along_axis(new, some, 1)), -1, own[some])])
-        at = best(both, named, k)
-        scores[q.points], ids[q.points] = np.take_along_axis(both, at, 1), np.take_along_axis(named, at, 1)
+        new[query_ids[q.points][:, None] == data_ids[d.points]] = -np.inf
+        low = scores[q.points, -1]
+        if len(d.points) > k and np.isneginf(low).any():
+            low = np.maximum(low, np.partition(new, len(d.points) - k, 1)[:, len(d.points) - k])
+        for at, (row, least) in enumerate(zip(q.points, low)):
+            some = np.flatnonzero((new[at] >= least) & (new[at] > -np.inf))
+            if len(some):
+                both, named = np.concatenate([scores[row], new[at, some]]), np.concatenate([ids[row], data_ids[d.points[some]]])
+                order = np.lexsort((named, -both))[:k]
+                scores[row], ids[row] = both[order], named[order]
 
     def dual(q: Node, pending: list) -> None:
         """pending: data nodes that the ancestors of q have not passed over."""
