@@ -21,9 +21,6 @@ MISS = 1e-7
 ROWS = 6
 #: Sets and shingles of a block, at most on average.
 BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
-#: Band values that a task holds to join its own documents before the shuffle; beyond it the memory starts anew.
-HELD = 1_000_000
-
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -31,32 +28,57 @@ def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log1p(-(similarity**rows)))
 
 
+_rng = np.random.default_rng(5)
+_BYTES = _rng.integers(0, 2**64, 256, dtype=np.uint64)
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BASE = 0x9E3779B97F4A7C15
+#: Bytes that are hashed at once, unless a word is longer.
+_PIECE = 1 << 18
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _MIX[1]
+    x = (x ^ (x >> np.uint64(29))) * _MIX[2]
+    return x ^ (x >> np.uint64(32))
+
+
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
     def __init__(self, words: int):
-        import xxhash
-
-        self.words, self.hash, self.known = words, xxhash.xxh3_64_intdigest, {}
+        self.words = words
+        self.power = self.inverse = np.ones(1, np.uint64)
+
+    def _powers(self, n: int) -> None:
+        if n > len(self.power):
+            self.power, self.inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+    def hashes(self, text: str | None) -> np.ndarray:
+        """A hash of each word: a run of bytes that aren't white space in ASCII, A-Z lower-cased. Polynomials in the bytes, from differences of prefix sums."""
+        data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
+        space, out, at = _SPACE[data], [], 0
+        while at < len(data):
+            end = min(len(data), at + _PIECE)
+            while end < len(data) and not space[end]:
+                end = min(len(data), end + 1 + int(np.argmax(np.append(space[end + 1 : end + 1 + _PIECE], True))))
+            piece, gap = data[at:end], np.concatenate([[True], space[at:end], [True]])
+            start, stop = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+            self._powers(len(piece))
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[piece] * self.inverse[: len(piece)], dtype=np.uint64)])
+            out.append(_mix((sums[stop] - sums[start]) * self.power[start] + (stop - start).astype(np.uint64)))
+            at = end
+        return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        """Words are runs of bytes that aren't white space in ASCII, A-Z lower-cased. Fewer words than a shingle has are one; none are none."""
-        found = (text or "").encode("utf-8", "replace").lower().split()
-        if not found:
-            return np.zeros(0, np.uint64)
-        if len(self.known) > 1_000_000:
-            self.known.clear()
-        known = self.known
-        for w in set(found).difference(known):
-            known[w] = self.hash(w)
-        h = np.fromiter(map(known.__getitem__, found), np.uint64, len(found))
+        """Of a text with fewer words than a shingle has, its words are one; without words there are none."""
+        h = self.hashes(text)
+        if not len(h):
+            return h
         k = min(self.words, len(h))
         s = np.full(len(h) - k + 1, k, np.uint64)
         for i in range(k):
             s = (s ^ (s >> np.uint64(29))) * _MIX[1] + h[i : len(h) - k + 1 + i] * _MIX[0]
-        s ^= s >> np.uint64(31)
-        s *= _MIX[2]
-        return np.unique(s ^ (s >> np.uint64(32)))
+        return np.unique(_mix(s))
 
 
 def key_of(shingles: np.ndarray) -> tuple[int, int]:
@@ -112,28 +134,22 @@ def sketch(docs, words: int, bands: int):
     return narrow(docs, doc_id="bigint", text="string").mapInArrow(run, "doc_id bigint, row bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>")
 
 
-def _within_tasks(batches):
-    """(band, a, b): an edge (band null) to the first node of the task that has the band, or else the node itself as a."""
-    first: dict[int, int] = {}
+def _within_batches(batches):
+    """(band, a, b): an edge (band null) from the first node of the batch that has the band to another; for each band its first node as a."""
     for batch in batches:
-        bands, a, b = [], [], []
-        for node, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if len(first) > HELD:
-                first.clear()
-            linked = set()
-            for v in values:
-                other = first.setdefault(v, node)
-                if other != node:
-                    linked.add(other)
-                else:
-                    bands.append(v)
-                    a.append(node)
-                    b.append(None)
-            for other in linked:
-                bands.append(None)
-                a.append(other)
-                b.append(node)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (bands, a, b)], ["band", "a", "b"])
+        size = pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        value, node = batch.column(1).flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), size)
+        if not len(value):
+            continue
+        order = np.lexsort((node, value))
+        value, node = value[order], node[order]
+        begins = np.concatenate([[True], value[1:] != value[:-1]])
+        head = node[np.maximum.accumulate(np.where(begins, np.arange(len(value)), 0))]
+        edges = np.unique(np.stack([head, node], 1)[~begins & (head != node)], axis=0)
+        none = pa.nulls(len(edges), pa.int64())
+        first = pa.array(value[begins]), pa.array(head[begins]), pa.nulls(int(begins.sum()), pa.int64())
+        for columns in (first, (none, pa.array(edges[:, 0]), pa.array(edges[:, 1]))):
+            yield pa.RecordBatch.from_arrays(list(columns), ["band", "a", "b"])
 
 
 def _runs(batches):
@@ -152,8 +168,8 @@ def _runs(batches):
 
 
 def candidate_edges(nodes):
-    """Edges (a, b) that connect all nodes with a common band. nodes: (node, bands). A band's nodes meet within tasks first, so a band that a third of all nodes share sends a row for each task."""
-    rows = stage(nodes.select("node", "bands").mapInArrow(_within_tasks, "band bigint, a bigint, b bigint"), "near-bands", nodes.sparkSession)
+    """Edges (a, b) that connect all nodes with a common band. nodes: (node, bands). A band's nodes meet within batches first, so a band that a third of all nodes share sends a row for each batch."""
+    rows = stage(nodes.select("node", "bands").mapInArrow(_within_batches, "band bigint, a bigint, b bigint"), "near-bands", nodes.sparkSession)
     across = rows.where(F.col("band").isNotNull()).select("band", F.col("a").alias("node")).repartition(partitions(nodes.sparkSession), "band").sortWithinPartitions("band", "node").mapInArrow(_runs, "a bigint, b bigint")
     return across.unionByName(rows.where(F.col("band").isNull()).select("a", "b")).distinct()
 
