@@ -5,6 +5,9 @@ import shutil
 import tempfile
 import uuid
 
+#: Rows and bytes of an Arrow batch, at most.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
 _own: dict[str, str] = {}
 
 
@@ -47,8 +50,17 @@ def column(df, name: str, kind: str):
     return (df[f"`{found[0]}`"] if found else F.lit(None)).cast(kind).alias(name)
 
 
+def short_batches(spark) -> None:
+    """Rows of texts go to Python this many at a time: with the default of 10,000, long texts would fill a worker's memory, and the executor's."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def narrow(df, **kinds: str):
-    """Only the named columns, cast."""
+    """Only the named columns, cast. The session's Arrow batches get short."""
+    short_batches(df.sparkSession)
     return df.select(*[column(df, n, k) for n, k in kinds.items()])
 
 
