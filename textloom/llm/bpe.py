@@ -256,8 +256,13 @@ def digests(encoded, ranks: dict[bytes, int]):
     return narrow(encoded, doc_id="bigint", ids="array<int>").mapInArrow(lambda batches: _digest(sent.value, batches), _DIGESTS)
 
 
-def encode_digests(docs, ranks: dict[bytes, int], pattern: str, **how):
-    """digests(encode(docs, ...)), each block's ids digested where they are made."""
+def encode_digests(docs, ranks: dict[bytes, int], pattern: str, with_ids: bool = False, **how):
+    """digests(encode(docs, ...)), each block's ids digested where they are made. with_ids: a column ids as well."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
     empty = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-    return encode(docs, ranks, pattern, finish=lambda t: pa.Table.from_batches(_digest(sent.value, t.to_batches()), empty), schema=_DIGESTS, **how)
+
+    def finish(table):
+        out = pa.Table.from_batches(_digest(sent.value, table.to_batches()), empty)
+        return out.append_column("ids", table["ids"]) if with_ids else out
+
+    return encode(docs, ranks, pattern, finish=finish, schema=_DIGESTS + ", ids array<int>" * with_ids, **how)

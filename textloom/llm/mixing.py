@@ -160,5 +160,5 @@ def mixed(docs, **how):
     """The rows of docs, with all their columns, as often as mix_by_source(docs, **how) takes them. Rows of one doc_id are taken as often as the one taken most."""
     taken = mix_by_source(docs, **how).where(F.col("copies") > 0).groupBy("doc_id").agg(F.max("copies").alias("__copies")).withColumnRenamed("doc_id", "__doc_id")
     name = next(c for c in docs.columns if c.lower() == "doc_id")
-    out = docs.join(taken, docs[f"`{name}`"].cast("bigint").eqNullSafe(F.col("__doc_id")))
+    out = docs.join(taken.hint("merge"), docs[f"`{name}`"].cast("bigint").eqNullSafe(F.col("__doc_id")))
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies"))).select(*[docs[f"`{c}`"] for c in docs.columns])

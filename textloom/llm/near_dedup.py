@@ -280,4 +280,5 @@ def near_duplicates(docs, words: int = 5, num: int = 80, den: int = 100, rows: i
 def deduplicate(docs, **how):
     """The rows of docs, with all their columns, whose document is kept by near_duplicates(docs, **how). Rows of one doc_id stay or go together; a null doc_id stays."""
     removed = near_duplicates(docs, **how).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select(F.col("doc_id").alias("__removed"))
-    return docs.join(removed, column(docs, "doc_id", "bigint") == F.col("__removed"), "left_anti")
+    # merge: else a few removed rows would be broadcast, and the same step would be another one on a larger input
+    return docs.join(removed.hint("merge"), column(docs, "doc_id", "bigint") == F.col("__removed"), "left_anti")
