@@ -11,6 +11,7 @@ import base64
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ._store import narrow, partitions, stage
@@ -197,7 +198,7 @@ def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS,
 
 def _joined(table: pa.Array, ids: pa.Array, ends: np.ndarray):
     """For each run of ids, the bytes of the table's entries one after the other."""
-    got = pa.compute.take(table, ids)
+    got = pc.take(table, ids)
     at = np.frombuffer(got.buffers()[1], np.int64)[got.offset : got.offset + len(got) + 1] if len(got) else np.zeros(1, np.int64)
     data = memoryview(got.buffers()[2] or b"") if len(got) else memoryview(b"")
     cut = at[ends].tolist()
@@ -206,8 +207,8 @@ def _joined(table: pa.Array, ids: pa.Array, ends: np.ndarray):
 
 def _ids_of(column: pa.Array):
     """Flat ids and the ends of each row's; a null row has none."""
-    lens = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy(zero_copy_only=False)
-    return pa.compute.list_flatten(column), np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
+    lens = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return pc.list_flatten(column), np.concatenate([[0], np.cumsum(lens)]).astype(np.int64)
 
 
 def _token_table(ranks: dict[bytes, int]) -> pa.Array:

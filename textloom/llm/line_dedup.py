@@ -1,197 +1,181 @@
 """Repeated runs of lines, by winnowing.
 
-A line's units are its sentences, so that a passage is found within a longer line too. Grams are runs of units of so
-many words; in each window of units, the gram of the smallest hash is a fingerprint. Any run of a window's words that
-two documents share holds a fingerprint of both. Documents whose fingerprints occur elsewhere join by the windows
-around these, the match with the earliest place is extended both ways, and the later run goes.
+A line's units are its sentences, so that a passage is found within a longer line too. Windows are the shortest runs
+of units with so many words, grams shorter ones; of the grams in each window that of the smallest hash is a
+fingerprint, so that equal windows have equal fingerprints. Windows whose fingerprint occurs more than once are
+joined by content; what follows a window that occurred earlier is matched on until the next one, and the later run goes.
 """
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from ._store import narrow, stage
+from ._store import narrow, partitions, stage
+from ._words import Prefix, lowered, mix, words
 
 #: Words of a run that is removed, at least, and of a gram.
 WINDOW, GRAM = 50, 25
+#: The filter of repeated fingerprints: segments, and bits of each. Of a fixed size; where it is too small for a corpus, more windows are joined in vain.
+SEGMENTS, SEGMENT_BITS = 64, 1 << 20
 
-_BREAK = re.compile(r"(?<=[.!?])[ \t]+|\n")
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
+def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, words, start, stop) of each unit of a text's bytes: words up to a line's end, or to one that ends in a full stop, question or exclamation mark. Spacing within it doesn't count."""
+    h, start, stop = words(data)
+    if not len(h):
+        return h, start, start, stop
+    lines = np.cumsum(data == 10)
+    last = np.isin(data[stop - 1], (0x21, 0x2E, 0x3F))
+    last[:-1] |= lines[start[1:] - 1] > lines[stop[:-1] - 1]
+    last[-1] = True
+    to = np.flatnonzero(last) + 1
+    of = np.concatenate([[0], to[:-1]])
+    return Prefix(h)(of, to), to - of, start[of], stop[to - 1]
 
-def units(text: str | None) -> list[tuple[int, int, str]]:
-    """(start, stop, normal form) of each unit with words: sentences of each line, in lower case, single-spaced."""
-    text, out, start = text or "", [], 0
-    for at, after in [(m.start(), m.end()) for m in _BREAK.finditer(text)] + [(len(text), len(text))]:
-        if form := " ".join(text[start:at].lower().split()):
-            out.append((start, at, form))
-        start = after
-    return out
 
+class Runs:
+    """Windows and grams of a sequence of units: window i starts at unit i and ends before unit stop[i]; the last units start none."""
 
-def _hashes(forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    import xxhash
+    def __init__(self, hashes: np.ndarray, size: np.ndarray, window: int = WINDOW, gram: int = GRAM):
+        n, total = len(hashes), np.concatenate([[0], np.cumsum(size)])
+        self.hash = Prefix(hashes)
+        stop, gram_stop = (np.searchsorted(total, total[:-1] + x) for x in (window, gram))
+        self.stop, self.gram_stop = stop[stop <= n], gram_stop[gram_stop <= n]
 
-    return np.fromiter((xxhash.xxh3_64_intdigest(f.encode("utf-8", "replace")) for f in forms), np.uint64, len(forms)), np.fromiter((f.count(" ") + 1 for f in forms), np.int64, len(forms))
+    def prints(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each window's fingerprint, and where it is: the gram of the smallest hash, the last of equal ones."""
+        m = len(self.stop)
+        value = self.hash(np.arange(len(self.gram_stop)), self.gram_stop)
+        last, chosen = np.searchsorted(self.gram_stop, self.stop, "right") - 1, np.arange(m)
+        for d in range(1, int((last - np.arange(m)).max(initial=0)) + 1):
+            at = np.flatnonzero(np.arange(m) + d <= last)
+            at = at[value[at + d] <= value[chosen[at]]]
+            chosen[at] = at + d
+        return value[chosen], chosen
 
+    def keys(self) -> np.ndarray:
+        """Hashes of the windows."""
+        return self.hash(np.arange(len(self.stop)), self.stop)
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
 
-
-class Runs:
-    """Grams and windows of a sequence of unit hashes and word counts."""
-
-    def __init__(self, hashes: np.ndarray, words: np.ndarray, window: int = WINDOW, gram: int = GRAM):
-        n = len(hashes)
-        self.total = np.concatenate([[0], np.cumsum(words)])
-        #: where a run of so many words ends, for each start; beyond n for none
-        self.stop = np.searchsorted(self.total, self.total[:-1] + window)
-        self.gram_stop = np.searchsorted(self.total, self.total[:-1] + gram)
-        power = np.cumprod(np.array([1] + [_BASE] * n, np.uint64), dtype=np.uint64)
-        inverse = np.cumprod(np.array([1] + [_INVERSE] * max(0, n - 1), np.uint64), dtype=np.uint64)[:n]
-        self.power, self.sums = power, np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * inverse, dtype=np.uint64)])
-        self.starts = np.flatnonzero(self.stop <= n)
-
-    def hash(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-        """Of the units from start to stop: equal for equal runs at any place."""
-        return _mixed((self.sums[stop] - self.sums[start]) * self.power[start] + (stop - start).astype(np.uint64))
-
-    def fingerprints(self) -> tuple[np.ndarray, np.ndarray]:
-        """For each of starts, the place of the gram in its window with the smallest hash (the last of equal ones); the hashes of all grams."""
-        n = len(self.stop)
-        grams = np.flatnonzero(self.gram_stop <= n)
-        value = self.hash(grams, self.gram_stop[grams])
-        last = np.searchsorted(self.gram_stop[grams], self.stop[self.starts], "right") - 1
-        chosen = self.starts.copy()
-        for d in range(1, int((last - self.starts).max(initial=0)) + 1):
-            open_ = self.starts + d <= last
-            other = self.starts[open_] + d
-            better = value[other] <= value[chosen[open_]]
-            chosen[np.flatnonzero(open_)[better]] = other[better]
-        return chosen, value
-
-
-_UNITS = "doc_id bigint, h bigint, units array<bigint>, words array<int>, prints array<bigint>"
+def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)), pa.array(np.concatenate(arrays).view(np.int64) if kind == pa.int64() else np.concatenate(arrays).astype(np.int32), kind))
 
 
 def _measured(window: int, gram: int):
     def run(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                out = []
-                for text in part.column(2):
-                    hashes, words = _hashes([f for _, _, f in units(text.as_py())])
-                    runs = Runs(hashes, words, window, gram)
-                    chosen, value = runs.fingerprints()
-                    out.append((hashes.view(np.int64), words, value[np.unique(chosen)].view(np.int64)))
-                a, b, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(a, pa.list_(pa.int64())), pa.array(b, pa.list_(pa.int32())), pa.array(c, pa.list_(pa.int64()))], ["doc_id", "h", "units", "words", "prints"])
+            if not batch.num_rows:
+                continue
+            out = []
+            for text in batch.column(2):
+                hashes, size, _, _ = units(lowered(text.as_py()))
+                found, at = Runs(hashes, size, window, gram).prints()
+                # once for each place
+                out.append((hashes, size, found[np.diff(at, prepend=-1) != 0]))
+            a, b, c = zip(*out)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(a, pa.int64()), _lists(b, pa.int32()), _lists(c, pa.int64())], ["doc_id", "h", "units", "words", "prints"])
 
     return run
 
 
-_PLACE = "doc_id bigint, h bigint, start int, stop int, before array<bigint>, after array<bigint>"
+def _bits(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Segment of each fingerprint, and its two bits there."""
+    other = mix(prints)
+    return (prints % np.uint64(SEGMENTS)).astype(np.int64), np.stack([x % np.uint64(SEGMENT_BITS) for x in (other, other >> np.uint64(32))]).astype(np.int64)
 
 
-def _windows(window: int, gram: int):
-    """Of documents with their repeated fingerprints: each window that one of these stands for, with as many words of units before and after as a window has."""
+def _filter(often) -> np.ndarray:
+    """A bit map of the fingerprints, segment by segment; each is made by one task, and the driver gets a map of fixed size."""
 
     def run(batches):
-        names = ["key", *(x.split()[0] for x in _PLACE.split(", "))]
+        maps: dict[int, np.ndarray] = {}
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                out = []
-                for doc, h, hashes, words, prints in zip(*(batch.slice(k, 1000).column(i).to_pylist() for i in range(5))):
-                    hashes = np.array(hashes, np.int64)
-                    runs = Runs(hashes.view(np.uint64), np.array(words, np.int64), window, gram)
-                    chosen, value = runs.fingerprints()
-                    found = runs.starts[np.isin(value[chosen].view(np.int64), np.array(prints, np.int64))]
-                    keys = runs.hash(found, runs.stop[found]).view(np.int64).tolist()
-                    first = np.searchsorted(runs.total, runs.total[found] - window, "right") - 1
-                    last = np.searchsorted(runs.total, runs.total[runs.stop[found]] + window)
-                    for key, a, b, c, d in zip(keys, np.maximum(first, 0).tolist(), found.tolist(), runs.stop[found].tolist(), last.tolist()):
-                        out.append((key, doc, h, b, c, hashes[a:b][::-1], hashes[c:d]))
-                if out:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names)
+            segment, bits = _bits(batch.column(0).to_numpy().view(np.uint64))
+            for s in np.unique(segment).tolist():
+                maps.setdefault(s, np.zeros(SEGMENT_BITS, bool))[bits[:, segment == s].ravel()] = True
+        if maps:
+            yield pa.RecordBatch.from_arrays([pa.array(list(maps), pa.int32()), pa.array([np.packbits(m).tobytes() for m in maps.values()], pa.binary())], ["segment", "bits"])
+
+    # unsigned remainder, as SEGMENTS is a power of 2
+    rows = often.repartition(min(SEGMENTS, partitions(often.sparkSession)), F.col("print").bitwiseAND(SEGMENTS - 1)).mapInArrow(run, "segment int, bits binary").collect()
+    out = np.zeros((SEGMENTS, SEGMENT_BITS // 8), np.uint8)
+    for r in rows:
+        out[r.segment] = np.frombuffer(r.bits, np.uint8)
+    return out
 
-    return run
+
+_PLACE = "key bigint, doc_id bigint, h bigint, start int, stop int, after array<bigint>"
 
 
-def _common(a: list, b: list) -> int:
-    n = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        n += 1
-    return n
+def _windows(sent, window: int, gram: int):
+    """Windows whose fingerprint the filter has; after: the units between its end and that of the next window."""
 
+    def run(batches):
+        names = [x.split()[0] for x in _PLACE.split(", ")]
+        for batch in batches:
+            flat, size = batch.column(2).flatten().to_numpy().view(np.uint64), batch.column(3).flatten().to_numpy()
+            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(2)).to_numpy())]).astype(np.int64)
+            out = []
+            for i, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
+                runs = Runs(flat[a:b], size[a:b], window, gram)
+                segment, bits = _bits(runs.prints()[0])
+                found = np.flatnonzero((sent.value[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0))
+                if len(found):
+                    stop = np.append(runs.stop, b - a + 1)
+                    after = [flat[a + x : a + y - 1] for x, y in zip(stop[found].tolist(), stop[found + 1].tolist())]
+                    out.append((runs.keys()[found], np.full(len(found), i), found, runs.stop[found], after))
+            if out:
+                key, at, start, stop = (np.concatenate(x) for x in list(zip(*out))[:4])
+                at = pa.array(at)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), _lists([x for o in out for x in o[4]], pa.int64())], names
+                )
 
-def _extended(batches):
-    """Of pairs of equal windows: the later one's run, extended both ways. Within a document it doesn't reach into the run that stays."""
-    for batch in batches:
-        doc, h, start, stop, before, after, of = (batch.column(i).to_pylist() for i in range(7))
-        out = []
-        for i, first in enumerate(of):
-            a, b = start[i] - _common(before[i], first["before"]), stop[i] + _common(after[i], first["after"])
-            if (doc[i], h[i]) == (first["doc_id"], first["h"]):
-                a, b = max(start[i], first["stop"]), stop[i]
-            if a < b:
-                out.append((doc[i], h[i], a, b))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["doc_id", "h", "start", "stop"])
+    return run
 
 
 def repeated_runs(docs, window: int = WINDOW, gram: int = GRAM):
     """(doc_id, h, runs array<struct<start, stop>>): runs of units that occur in a document of a smaller doc_id, or earlier in the same one.
 
     h is xxhash64 of the text: rows of one doc_id and different texts are documents in order of h, and rows equal in
-    both are one document. A null doc_id comes after all others. Any run of window words or more (gram at most half
-    of it) that occurred before is found; a unit counts only as a whole.
+    both are one document. A null doc_id comes after all others. Every run of window words or more that occurred
+    before is found, and nothing else (gram at most half of window); a unit counts as a whole only. Within one
+    document a run doesn't reach into the earlier one that stays.
     """
     spark = docs.sparkSession
     texts = narrow(docs, doc_id="bigint", text="string").select("doc_id", F.xxhash64("text").alias("h"), "text")
-    all_units = stage(texts.mapInArrow(_measured(window, gram), _UNITS), "line-units", spark)
-    prints = all_units.select("doc_id", "h", F.explode("prints").alias("print"))
-    # of a text's prints each is listed once, but a print may stand for several places: also within one text
-    often = stage(prints.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"), "line-prints", spark)
-    hits = prints.join(often, "print").groupBy("doc_id", "h").agg(F.collect_set("print").alias("found")).withColumnRenamed("doc_id", "hit_id").withColumnRenamed("h", "hit_h")
-    places = all_units.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("h") == F.col("hit_h"))).select("doc_id", "h", "units", "words", "found").mapInArrow(_windows(window, gram), "key bigint, " + _PLACE)
-    places = stage(places, "line-windows", spark)
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "h", "start")
-    first = places.groupBy("key").agg(F.min_by(F.struct("doc_id", "h", "start", "stop", "before", "after"), order).alias("of"), F.count("*").alias("n")).where("n > 1").select("key", "of")
-    first = stage(first, "line-first", spark)
-    later = places.join(first, "key").where(~(F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h")) & (F.col("start") == F.col("of.start"))))
-    runs = later.select("doc_id", "h", "start", "stop", "before", "after", "of").mapInArrow(_extended, "doc_id bigint, h bigint, start int, stop int")
-    return runs.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
-
-
-def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:
-    """The text without the units of the runs and the white space after them; the spans of characters that went."""
-    found = units(text)
-    gone = np.zeros(len(found) + 1, bool)
+    measured = stage(texts.mapInArrow(_measured(window, gram), "doc_id bigint, h bigint, units array<bigint>, words array<int>, prints array<bigint>"), "line-units", spark)
+    often = measured.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    sent = spark.sparkContext.broadcast(_filter(often))
+    places = stage(measured.select("doc_id", "h", "units", "words").mapInArrow(_windows(sent, window, gram), _PLACE), "line-windows", spark)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start", "stop", "after")
+    first = stage(places.groupBy("key").agg(F.min(order).alias("of"), F.count("*").alias("n")).where("n > 1").select("key", "of"), "line-first", spark)
+    same = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h"))
+    later = places.join(first, "key").where(~(same & (F.col("start") == F.col("of.start"))))
+    both = F.least(F.size("after"), F.size("of.after"))
+    more = F.when(both > 0, F.size(F.filter(F.sequence(F.lit(1), both), lambda i: F.slice("after", 1, i) == F.slice("of.after", 1, i)))).otherwise(0)
+    runs = later.select("doc_id", "h", F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start")).alias("start"), (F.col("stop") + F.when(same, 0).otherwise(more)).alias("stop"))
+    return runs.where("start < stop").groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+
+
+def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], list[int]]:
+    """The text without the units of the runs and the white space after them; the spans of bytes that went; the words of each unit that went."""
+    data = text.encode("utf-8", "replace")
+    _, size, start, _ = units(lowered(text))
+    gone = np.zeros(len(size), bool)
     for a, b in runs:
         gone[a:b] = True
-    spans: list[tuple[int, int]] = []
-    for i, (start, stop, _) in enumerate(found):
-        if gone[i]:
-            after = found[i + 1][0] if i + 1 < len(found) else len(text)
-            if spans and spans[-1][1] == start:
-                spans[-1] = spans[-1][0], after
-            else:
-                spans.append((start, after))
+    start = np.append(start, len(data))
+    edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+    spans = [(int(start[a]), int(start[b])) for a, b in zip(edge[::2], edge[1::2])]
     kept, at = [], 0
     for a, b in spans:
-        kept.append(text[at:a])
+        kept.append(data[at:a])
         at = b
-    out = "".join(kept) + text[at:]
-    return (out.rstrip() if at == len(text) and spans else out), spans
+    out = (b"".join(kept) + data[at:]).decode("utf-8", "replace")
+    return (out.rstrip() if spans and at == len(data) else out), spans, size[gone].tolist()
 
 
 def _with_runs(docs, window: int, gram: int):
@@ -203,26 +187,24 @@ def _with_runs(docs, window: int, gram: int):
 
 
 def report(docs, window: int = WINDOW, gram: int = GRAM):
-    """(doc_id, n_units, n_removed, removed_words, spans array<struct<start, stop>>, text) of every row: spans of characters of the original text that repeat an earlier run, and the text without them.
+    """(doc_id, n_removed, removed_words, spans array<struct<start, stop>>, text) of every row: spans of bytes of the original text that repeat an earlier run, and the text without them.
 
     A null or empty text has no units and keeps its value. See repeated_runs() for what counts as earlier.
     """
-    rows, names = _with_runs(narrow(docs, doc_id="bigint", text="string"), window, gram)
+    rows, _ = _with_runs(narrow(docs, doc_id="bigint", text="string"), window, gram)
 
     def run(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                part, out = batch.slice(k, 500), []
-                for text, runs in zip(part.column(1), part.column(2).to_pylist()):
-                    text = text.as_py()
-                    found = units(text)
-                    gone = {i for r in runs or () for i in range(r["start"], r["stop"])}
-                    new, spans = cut(text, [(r["start"], r["stop"]) for r in runs]) if runs else (text, [])
-                    out.append((len(found), len(gone), sum(found[i][2].count(" ") + 1 for i in gone), [{"start": a, "stop": b} for a, b in spans], new))
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.string())
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, t in zip(zip(*out), kinds))], ["doc_id", "n_units", "n_removed", "removed_words", "spans", "text"])
+            if not batch.num_rows:
+                continue
+            out = []
+            for text, runs in zip(batch.column(1), batch.column(2).to_pylist()):
+                new, spans, size = cut(text.as_py(), [(r["start"], r["stop"]) for r in runs]) if runs else (text.as_py(), [], [])
+                out.append((len(size), sum(size), [{"start": a, "stop": b} for a, b in spans], new))
+            kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(zip(*out), kinds))], ["doc_id", "n_removed", "removed_words", "spans", "text"])
 
-    return rows.select("doc_id", "text", "__runs").mapInArrow(run, "doc_id bigint, n_units bigint, n_removed bigint, removed_words bigint, spans array<struct<start:int,stop:int>>, text string")
+    return rows.select("doc_id", "text", "__runs").mapInArrow(run, "doc_id bigint, n_removed bigint, removed_words bigint, spans array<struct<start:int,stop:int>>, text string")
 
 
 def deduplicate(docs, window: int = WINDOW, gram: int = GRAM, drop_empty: bool = True):
@@ -240,7 +222,7 @@ def deduplicate(docs, window: int = WINDOW, gram: int = GRAM, drop_empty: bool =
             texts, keep = batch.column(at).to_pylist(), np.ones(batch.num_rows, bool)
             counts = batch.column(chars).to_pylist() if chars is not None else None
             for i in changed:
-                texts[i], _ = cut(texts[i], [(r["start"], r["stop"]) for r in found[i].as_py()])
+                texts[i], _, _ = cut(texts[i], [(r["start"], r["stop"]) for r in found[i].as_py()])
                 keep[i] = bool(texts[i].strip()) or not drop_empty
                 if counts:
                     counts[i] = len(texts[i])

@@ -10,9 +10,11 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ._store import column, narrow, partitions, stage
+from ._words import lowered, mix, words
 from .components import components
 
 #: Chance to miss a link of exactly the wanted similarity, for the number of bands.
@@ -21,64 +23,29 @@ MISS = 1e-7
 ROWS = 6
 #: Sets and shingles of a block, at most on average.
 BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
-_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)]
 
 
 def bands_for(similarity: float, rows: int = ROWS, miss: float = MISS) -> int:
     return math.ceil(math.log(miss) / math.log1p(-(similarity**rows)))
 
 
-_rng = np.random.default_rng(5)
-_BYTES = _rng.integers(0, 2**64, 256, dtype=np.uint64)
-_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-_BASE = 0x9E3779B97F4A7C15
-#: Bytes that are hashed at once, unless a word is longer.
-_PIECE = 1 << 18
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * _MIX[1]
-    x = (x ^ (x >> np.uint64(29))) * _MIX[2]
-    return x ^ (x >> np.uint64(32))
-
-
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles."""
 
     def __init__(self, words: int):
         self.words = words
-        self.power = self.inverse = np.ones(1, np.uint64)
-
-    def _powers(self, n: int) -> None:
-        if n > len(self.power):
-            self.power, self.inverse = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, b, np.uint64)]), dtype=np.uint64) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-
-    def hashes(self, text: str | None) -> np.ndarray:
-        """A hash of each word: a run of bytes that aren't white space in ASCII, A-Z lower-cased. Polynomials in the bytes, from differences of prefix sums."""
-        data = np.frombuffer((text or "").encode("utf-8", "replace").lower(), np.uint8)
-        space, out, at = _SPACE[data], [], 0
-        while at < len(data):
-            end = min(len(data), at + _PIECE)
-            while end < len(data) and not space[end]:
-                end = min(len(data), end + 1 + int(np.argmax(np.append(space[end + 1 : end + 1 + _PIECE], True))))
-            piece, gap = data[at:end], np.concatenate([[True], space[at:end], [True]])
-            start, stop = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
-            self._powers(len(piece))
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[piece] * self.inverse[: len(piece)], dtype=np.uint64)])
-            out.append(_mix((sums[stop] - sums[start]) * self.power[start] + (stop - start).astype(np.uint64)))
-            at = end
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
     def __call__(self, text: str | None) -> np.ndarray:
-        """Of a text with fewer words than a shingle has, its words are one; without words there are none."""
-        h = self.hashes(text)
+        """Words are runs of bytes that aren't white space in ASCII, A-Z lower-cased. Fewer words than a shingle has are one; none are none."""
+        h = words(lowered(text))[0]
         if not len(h):
             return h
         k = min(self.words, len(h))
         s = np.full(len(h) - k + 1, k, np.uint64)
         for i in range(k):
             s = (s ^ (s >> np.uint64(29))) * _MIX[1] + h[i : len(h) - k + 1 + i] * _MIX[0]
-        return np.unique(_mix(s))
+        return np.unique(mix(s))
 
 
 def key_of(shingles: np.ndarray) -> tuple[int, int]:
@@ -114,13 +81,13 @@ class Signer:
         return np.array([xxhash.xxh3_64_intdigest(v.tobytes(), seed=i) for i, v in enumerate(values)], np.uint64).view(np.int64).tolist()
 
 
-def sketch(docs, words: int, bands: int):
+def sketch(docs, size: int, bands: int):
     """(doc_id, row, n, s1, s2, bands): row numbers the rows, s1 and s2 stand for the shingle set, n is its size; no bands for an empty set."""
 
     def run(batches):
         from pyspark import TaskContext
 
-        shingle, signer, row = Shingler(words), Signer(bands), TaskContext.get().partitionId() << 33
+        shingle, signer, row = Shingler(size), Signer(bands), TaskContext.get().partitionId() << 33
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part, out = batch.slice(k, 1000), []
@@ -137,7 +104,7 @@ def sketch(docs, words: int, bands: int):
 def _within_batches(batches):
     """(band, a, b): an edge (band null) from the first node of the batch that has the band to another; for each band its first node as a."""
     for batch in batches:
-        size = pa.compute.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        size = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
         value, node = batch.column(1).flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), size)
         if not len(value):
             continue
