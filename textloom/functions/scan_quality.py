@@ -19,7 +19,7 @@ def counts(text) -> dict:
     s = F.substring(text, 1, SAMPLE)
     of = lambda pattern, x=s: F.regexp_count(x, F.lit(pattern)).cast("bigint")
     lower = F.lower(s)
-    lines = F.split(s, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85  ]")
+    lines = F.split(s, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]")
     short = F.filter(lines, lambda x: F.length(F.regexp_replace(x, rf"\A{SPACE}+|{SPACE}+\z", "")).between(1, 3))
     return {
         "char_count": F.length(text).cast("bigint"),

@@ -10,9 +10,9 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 #: White space as Python's str.isspace() has it, without and with the brackets of a class; then without the line feed.
-SPACES = r"\x09-\x0D\x1C-\x20\x85\xA0  -     　"
+SPACES = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 SPACE = f"[{SPACES}]"
-SPACE_IN_LINE = r"[\x09\x0B-\x0D\x1C-\x20\x85\xA0  -     　]"
+SPACE_IN_LINE = r"[\x09\x0B-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 WORD = r"[\p{L}\p{N}_]"
 #: A word, or one other character that isn't white space.
 TOKEN = rf"{WORD}+|[^\p{{L}}\p{{N}}_{SPACES}]"
@@ -57,7 +57,7 @@ def canonical(text):
 
 def unix_lines(text):
     """Line ends as line feeds, byte order marks deleted."""
-    return F.replace(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), F.lit("﻿"), F.lit(""))
+    return F.replace(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")), F.lit("\ufeff"), F.lit(""))
 
 
 def few_blank_lines(text):
