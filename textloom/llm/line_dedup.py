@@ -34,33 +34,60 @@ def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return Prefix(h)(of, to), to - of, start[of], stop[to - 1]
 
 
-class Runs:
-    """Windows and grams of a sequence of units: window i starts at unit i and ends before unit stop[i]; the last units start none."""
+class Batch:
+    """Units of several texts, one after the other: ends[i] is where those of text i end, end that of each unit's text.
 
-    def __init__(self, hashes: np.ndarray, size: np.ndarray, window: int = WINDOW, gram: int = GRAM):
-        n, total = len(hashes), np.concatenate([[0], np.cumsum(size)])
-        self.hash = Prefix(hashes)
-        stop, gram_stop = (np.searchsorted(total, total[:-1] + x) for x in (window, gram))
-        self.stop, self.gram_stop = stop[stop <= n], gram_stop[gram_stop <= n]
+    A window starts at a unit and ends before stop, if that many words follow in its text.
+    """
+
+    def __init__(self, texts: list[str | None], window: int = WINDOW, gram: int = GRAM):
+        datas = [lowered(t) for t in texts]
+        # a line end between texts ends a unit
+        joined = np.concatenate([x for d in datas for x in (d, [10])] or [np.zeros(0)]).astype(np.uint8)
+        self.hashes, self.size, start, _ = units(joined)
+        begins = np.cumsum([0] + [len(d) + 1 for d in datas])
+        self.ends = np.searchsorted(start, begins[1:])
+        self._measure(window, gram)
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, size: np.ndarray, ends: np.ndarray, window: int = WINDOW, gram: int = GRAM):
+        self = cls.__new__(cls)
+        self.hashes, self.size, self.ends = hashes, size, ends
+        self._measure(window, gram)
+        return self
+
+    def _measure(self, window: int, gram: int) -> None:
+        n, total = len(self.hashes), np.concatenate([[0], np.cumsum(self.size)])
+        self.text = np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
+        self.end = self.ends[self.text]
+        self.hash = Prefix(self.hashes)
+        self.stop, self.gram_stop = (np.searchsorted(total, total[:-1] + x) for x in (window, gram))
+        self.starts = np.flatnonzero(self.stop <= self.end) if n else np.zeros(0, np.int64)
 
     def prints(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each window's fingerprint, and where it is: the gram of the smallest hash, the last of equal ones."""
-        m = len(self.stop)
-        value = self.hash(np.arange(len(self.gram_stop)), self.gram_stop)
-        last, chosen = np.searchsorted(self.gram_stop, self.stop, "right") - 1, np.arange(m)
-        for d in range(1, int((last - np.arange(m)).max(initial=0)) + 1):
-            at = np.flatnonzero(np.arange(m) + d <= last)
-            at = at[value[at + d] <= value[chosen[at]]]
-            chosen[at] = at + d
+        """Each window's fingerprint, and the unit where it starts: the gram of the smallest hash, the last of equal ones."""
+        at, n = np.arange(len(self.gram_stop)), len(self.hashes)
+        value, chosen = self.hash(at, np.minimum(self.gram_stop, n)), self.starts.copy()
+        last = np.searchsorted(self.gram_stop, self.stop[self.starts], "right") - 1
+        for d in range(1, int((last - self.starts).max(initial=0)) + 1):
+            i = np.flatnonzero(self.starts + d <= last)
+            i = i[value[self.starts[i] + d] <= value[chosen[i]]]
+            chosen[i] = self.starts[i] + d
         return value[chosen], chosen
 
-    def keys(self) -> np.ndarray:
-        """Hashes of the windows."""
-        return self.hash(np.arange(len(self.stop)), self.stop)
+    def keys(self, starts: np.ndarray) -> np.ndarray:
+        """Hashes of the windows at these starts."""
+        return self.hash(starts, self.stop[starts])
 
+    def after(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the units begin and end that lie between a window's end and that of the next one, or its text's end."""
+        following = np.minimum(starts + 1, len(self.stop) - 1)
+        more = (starts + 1 < self.end[starts]) & (self.stop[following] <= self.end[starts])
+        return self.stop[starts], np.where(more, np.maximum(self.stop[following] - 1, self.stop[starts]), self.end[starts])
 
-def _lists(arrays: list[np.ndarray], kind) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)), pa.array(np.concatenate(arrays).view(np.int64) if kind == pa.int64() else np.concatenate(arrays).astype(np.int32), kind))
+
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
 
 
 def _measured(window: int, gram: int):
@@ -68,14 +95,12 @@ def _measured(window: int, gram: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out = []
-            for text in batch.column(2):
-                hashes, size, _, _ = units(lowered(text.as_py()))
-                found, at = Runs(hashes, size, window, gram).prints()
-                # once for each place
-                out.append((hashes, size, found[np.diff(at, prepend=-1) != 0]))
-            a, b, c = zip(*out)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(a, pa.int64()), _lists(b, pa.int32()), _lists(c, pa.int64())], ["doc_id", "h", "units", "words", "prints"])
+            b = Batch(batch.column(2).to_pylist(), window, gram)
+            found, at = b.prints()
+            # once for each place
+            new = np.diff(at, prepend=-1) != 0
+            ends = np.searchsorted(b.text[at[new]], np.arange(batch.num_rows), "right")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(b.hashes.view(np.int64), b.ends), _lists(b.size.astype(np.int32), b.ends), _lists(found[new].view(np.int64), ends)], ["doc_id", "h", "units", "words", "prints"])
 
     return run
 
@@ -115,23 +140,21 @@ def _windows(sent, window: int, gram: int):
     def run(batches):
         names = [x.split()[0] for x in _PLACE.split(", ")]
         for batch in batches:
-            flat, size = batch.column(2).flatten().to_numpy().view(np.uint64), batch.column(3).flatten().to_numpy()
-            ends = np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column(2)).to_numpy())]).astype(np.int64)
-            out = []
-            for i, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
-                runs = Runs(flat[a:b], size[a:b], window, gram)
-                segment, bits = _bits(runs.prints()[0])
-                found = np.flatnonzero((sent.value[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0))
-                if len(found):
-                    stop = np.append(runs.stop, b - a + 1)
-                    after = [flat[a + x : a + y - 1] for x, y in zip(stop[found].tolist(), stop[found + 1].tolist())]
-                    out.append((runs.keys()[found], np.full(len(found), i), found, runs.stop[found], after))
-            if out:
-                key, at, start, stop = (np.concatenate(x) for x in list(zip(*out))[:4])
-                at = pa.array(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), _lists([x for o in out for x in o[4]], pa.int64())], names
-                )
+            if not batch.num_rows:
+                continue
+            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy()).astype(np.int64)
+            b = Batch.of(batch.column(2).flatten().to_numpy().view(np.uint64), batch.column(3).flatten().to_numpy().astype(np.int64), ends, window, gram)
+            segment, bits = _bits(b.prints()[0])
+            found = b.starts[(sent.value[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0)]
+            if not len(found):
+                continue
+            at, first = pa.array(b.text[found]), np.concatenate([[0], ends])[b.text[found]]
+            a, z = b.after(found)
+            size = z - a
+            after = b.hashes[np.repeat(a - np.cumsum(size) + size, size) + np.arange(size.sum())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b.keys(found).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array((found - first).astype(np.int32)), pa.array((b.stop[found] - first).astype(np.int32)), _lists(after.view(np.int64), np.cumsum(size))], names
+            )
 
     return run
 
