@@ -72,7 +72,6 @@ def chunks(text: str | None, window: Window = Window()) -> list[tuple[int, int,
 _CHUNK = "chunk_index int, char_start int, char_end int, first_paragraph int, last_paragraph int, heading string, method string, token_count int, text string"
 
 
-@udtf(returnType=_CHUNK)
 class ChunkText:
     """chunk_text(text, least, most, overlap) in SQL, with LATERAL."""
 
@@ -82,7 +81,7 @@ class ChunkText:
 
 
 def register(spark) -> None:
-    spark.udtf.register("chunk_text", ChunkText)
+    spark.udtf.register("chunk_text", udtf(ChunkText, returnType=_CHUNK))
 
 
 def segment(documents, window: Window = Window(), keys=("doc_id",)):

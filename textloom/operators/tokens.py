@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions import text as fn
 
@@ -32,7 +33,7 @@ class Tokenizer:
             return fn.token_count(text)
         loader = self.loader
 
-        @F.pandas_udf("bigint")
+        @F.pandas_udf(T.LongType())
         def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             count = loader()
             for s in batches:
