@@ -102,7 +102,7 @@ def sketch(docs, size: int, bands: int):
 
 
 def _within_batches(batches):
-    """(band, a, b): an edge (band null) from the first node of the batch that has the band to another; for each band its first node as a."""
+    """(band, a, b). Without a band: edges that connect those nodes of the batch that have common bands, one less than nodes. With one: a is the first node that those of the batch with the band are connected to."""
     for batch in batches:
         size = pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False)
         value, node = batch.column(1).flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), size)
@@ -112,11 +112,26 @@ def _within_batches(batches):
         value, node = value[order], node[order]
         begins = np.concatenate([[True], value[1:] != value[:-1]])
         head = node[np.maximum.accumulate(np.where(begins, np.arange(len(value)), 0))]
-        edges = np.unique(np.stack([head, node], 1)[~begins & (head != node)], axis=0)
-        none = pa.nulls(len(edges), pa.int64())
-        first = pa.array(value[begins]), pa.array(head[begins]), pa.nulls(int(begins.sum()), pa.int64())
-        for columns in (first, (none, pa.array(edges[:, 0]), pa.array(edges[:, 1]))):
-            yield pa.RecordBatch.from_arrays(list(columns), ["band", "a", "b"])
+        root: dict[int, int] = {}
+
+        def find(i):
+            while (j := root.get(i, i)) != i:
+                root[i] = root.get(j, j)
+                i = j
+            return i
+
+        edges = []
+        for a, b in np.unique(np.stack([head, node], 1)[~begins & (head != node)], axis=0).tolist():
+            x, y = find(a), find(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                edges.append((a, b))
+        first = head[begins]
+        if root:
+            first = np.array([find(i) for i in first.tolist()])
+        yield pa.RecordBatch.from_arrays([pa.array(value[begins]), pa.array(first), pa.nulls(len(first), pa.int64())], ["band", "a", "b"])
+        if edges:
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(edges), pa.int64()), *(pa.array(x, pa.int64()) for x in zip(*edges))], ["band", "a", "b"])
 
 
 def _runs(batches):
