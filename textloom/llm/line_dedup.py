@@ -3,7 +3,8 @@
 A line's units are its sentences, so that a passage is found within a longer line too. Windows are the shortest runs
 of units with so many words, grams shorter ones; of the grams in each window that of the smallest hash is a
 fingerprint, so that equal windows have equal fingerprints. Windows whose fingerprint occurs more than once are
-joined by content; what follows a window that occurred earlier is matched on until the next one, and the later run goes.
+joined by content, each also with the units up to the next window's end; what occurred earlier is extended both ways by
+the windows that overlap it, and the later run goes.
 """
 
 import numpy as np
@@ -75,15 +76,17 @@ class Batch:
             chosen[i] = self.starts[i] + d
         return value[chosen], chosen
 
-    def keys(self, starts: np.ndarray) -> np.ndarray:
-        """Hashes of the windows at these starts."""
-        return self.hash(starts, self.stop[starts])
+    def places(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, start and stop of the windows at these starts, and of each with one unit more and more while that ends before the next window does.
 
-    def after(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the units begin and end that lie between a window's end and that of the next one, or its text's end."""
+        Any run of so many words is the union of those of its windows: the shortest ones from each unit on, and up to each.
+        """
         following = np.minimum(starts + 1, len(self.stop) - 1)
         more = (starts + 1 < self.end[starts]) & (self.stop[following] <= self.end[starts])
-        return self.stop[starts], np.where(more, np.maximum(self.stop[following] - 1, self.stop[starts]), self.end[starts])
+        size = np.where(more, np.maximum(self.stop[following] - self.stop[starts], 1), self.end[starts] - self.stop[starts] + 1)
+        start = np.repeat(starts, size)
+        stop = np.repeat(self.stop[starts] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        return self.hash(start, stop), start, stop
 
 
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -131,11 +134,11 @@ def _filter(often) -> np.ndarray:
     return out
 
 
-_PLACE = "key bigint, doc_id bigint, h bigint, start int, stop int, after array<bigint>"
+_PLACE = "key bigint, doc_id bigint, h bigint, start int, stop int"
 
 
 def _windows(sent, window: int, gram: int):
-    """Windows whose fingerprint the filter has; after: the units between its end and that of the next window."""
+    """Windows whose fingerprint the filter has."""
 
     def run(batches):
         names = [x.split()[0] for x in _PLACE.split(", ")]
@@ -148,13 +151,10 @@ def _windows(sent, window: int, gram: int):
             found = b.starts[(sent.value[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0)]
             if not len(found):
                 continue
-            at, first = pa.array(b.text[found]), np.concatenate([[0], ends])[b.text[found]]
-            a, z = b.after(found)
-            size = z - a
-            after = b.hashes[np.repeat(a - np.cumsum(size) + size, size) + np.arange(size.sum())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(b.keys(found).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array((found - first).astype(np.int32)), pa.array((b.stop[found] - first).astype(np.int32)), _lists(after.view(np.int64), np.cumsum(size))], names
-            )
+            key, start, stop = b.places(found)
+            text = b.text[start]
+            at, first = pa.array(text), np.concatenate([[0], ends])[text]
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array((start - first).astype(np.int32)), pa.array((stop - first).astype(np.int32))], names)
 
     return run
 
@@ -173,13 +173,11 @@ def repeated_runs(docs, window: int = WINDOW, gram: int = GRAM):
     often = measured.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     sent = spark.sparkContext.broadcast(_filter(often))
     places = stage(measured.select("doc_id", "h", "units", "words").mapInArrow(_windows(sent, window, gram), _PLACE), "line-windows", spark)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start", "stop", "after")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start", "stop")
     first = stage(places.groupBy("key").agg(F.min(order).alias("of"), F.count("*").alias("n")).where("n > 1").select("key", "of"), "line-first", spark)
     same = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h"))
     later = places.join(first, "key").where(~(same & (F.col("start") == F.col("of.start"))))
-    both = F.least(F.size("after"), F.size("of.after"))
-    more = F.when(both > 0, F.size(F.filter(F.sequence(F.lit(1), both), lambda i: F.slice("after", 1, i) == F.slice("of.after", 1, i)))).otherwise(0)
-    runs = later.select("doc_id", "h", F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start")).alias("start"), (F.col("stop") + F.when(same, 0).otherwise(more)).alias("stop"))
+    runs = later.select("doc_id", "h", F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start")).alias("start"), "stop")
     return runs.where("start < stop").groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
 
 
