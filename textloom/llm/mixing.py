@@ -54,19 +54,20 @@ def flow(supply: dict, members: dict, quota: dict, copies: int = 2) -> dict:
             room = float(supply[p])
             while room > 1e-9:
                 # breadth first from p to a source with quota left, back along words already sent
-                came, queue, end = {}, [("p", p)], None
+                came, queue, found = {}, [("p", p)], []
                 seen = {("p", p)}
                 for kind, x in queue:
                     if kind == "s" and left.get(x, 0) > 1e-9:
-                        end = x
+                        found = [x]
                         break
                     for y in ([("s", s) for s in members[x]] if kind == "p" else [("p", q) for q in of[x] if sent[q][x] > 1e-9]):
                         if y not in seen:
                             seen.add(y)
                             came[y] = (kind, x)
                             queue.append(y)
-                if end is None:
+                if not found:
                     break
+                end = found[0]
                 path, at = [], ("s", end)
                 while at in came:
                     path.append((came[at], at))
