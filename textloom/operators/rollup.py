@@ -10,16 +10,18 @@ TOKENIZER = ("target_family", "backend", "model_id", "tokenizer", "tokenizer_ver
 
 
 def sums(counts, dimensions=DIMENSIONS, value: str = "token_count"):
-    """(dimension, key, documents, tokens): sums over each dimension and, as dimension total, over all. A null key is a group like others.
+    """(dimension, key, documents, tokens): sums over each dimension and, as dimension total, over all. A null key is a group like others; the total of no rows is 0.
 
-    One pass: the rows are expanded by grouping sets, and which set a row is of is told by its grouping id.
+    The dimensions take one pass: rows are expanded by grouping sets, and which set a row is of is told by its grouping id.
     """
     n = len(dimensions)
     # a bit of grouping_id is 0 for the column that is grouped by
-    names = F.create_map(*[x for i, d in enumerate(dimensions) for x in (F.lit((1 << n) - 1 - (1 << (n - 1 - i))), F.lit(d))], F.lit((1 << n) - 1), F.lit("total"))
+    names = F.create_map(*[x for i, d in enumerate(dimensions) for x in (F.lit((1 << n) - 1 - (1 << (n - 1 - i))), F.lit(d))])
     rows = counts.select(*[F.col(d).cast("string").alias(d) for d in dimensions], F.col(value).cast("bigint").alias("__v"))
-    out = rows.groupingSets([[F.col(d)] for d in dimensions] + [[]], *[F.col(d) for d in dimensions]).agg(F.grouping_id().cast("int").alias("g"), F.coalesce(F.sum("__v"), F.lit(0)).alias("tokens"), F.count("*").alias("documents"))
-    return out.select(names[F.col("g")].alias("dimension"), F.coalesce(*[F.col(d) for d in dimensions]).alias("key"), "documents", "tokens")
+    figures = [F.count("*").alias("documents"), F.coalesce(F.sum("__v"), F.lit(0)).alias("tokens")]
+    out = rows.groupingSets([[F.col(d)] for d in dimensions], *[F.col(d) for d in dimensions]).agg(F.grouping_id().cast("int").alias("g"), *figures)
+    total = rows.agg(*figures).select(F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("key"), "documents", "tokens")
+    return out.select(names[F.col("g")].alias("dimension"), F.coalesce(*[F.col(d) for d in dimensions]).alias("key"), "documents", "tokens").unionByName(total)
 
 
 def top(counts, key: str = "work_id", value: str = "token_count", n: int = 10, order: str = "_ord"):
