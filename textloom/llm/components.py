@@ -14,25 +14,29 @@ def _written(df, label):
 def components(edges, a: str = "a", b: str = "b"):
     """(node, component) of every node that an edge names: component is the smallest node reachable.
 
-    Labels fall to the smallest of the neighbours' and then to that label's own label, so that rounds grow with the
-    logarithm of a path's length. Each round is a written table; only the sum of the labels comes to the driver. Rows
-    with a null end are left out; loops and repeated edges don't matter.
+    In each round a node takes the smallest of its neighbours, and then what that one takes; edges between nodes that
+    took the same go, and the rest lie between the taken. So a round has fewer nodes and edges than the one before,
+    and the rounds' tables are at last joined from the smallest up. Each round is a written table; of it only whether
+    edges are left comes to the driver. Rows with a null end are left out; loops and repeated edges don't matter.
     """
+    spark = edges.sparkSession
     e = edges.select(F.col(a).cast("bigint").alias("u"), F.col(b).cast("bigint").alias("v")).where("u is not null and v is not null")
-    ends = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")), F.struct(F.col("u"), F.col("u").alias("v")), F.struct(F.col("v").alias("u"), F.col("v")))).alias("e")).select("e.u", "e.v").distinct()
-    ends, ends_path = _written(ends, "cc-ends")
-    labels, path = _written(ends.groupBy("u").agg(F.min("v").alias("label")).withColumnRenamed("u", "node"), "cc-labels")
-    total = None
+    e, path = _written(e.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "cc-edges")
+    levels = []
     while True:
-        now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if now == total:
+        ends = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+        near, near_path = _written(ends.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.least("u", "v").alias("label")), "cc-near")
+        level, _ = _written(near.withColumnRenamed("label", "at").join(near.select(F.col("node").alias("at"), "label"), "at").select("node", "label"), "cc-level")
+        levels.append(level)
+        drop_path(spark, near_path)
+        x, y = (level.select(F.col("node").alias(c), F.col("label").alias(f"new_{c}")) for c in "uv")
+        rest = e.where("u != v").join(x, "u").join(y, "v").where("new_u != new_v").select(F.least("new_u", "new_v").alias("u"), F.greatest("new_u", "new_v").alias("v")).distinct()
+        before, (e, path) = path, _written(rest, "cc-edges")
+        drop_path(spark, before)
+        if e.isEmpty():
             break
-        total = now
-        near = ends.join(labels.withColumnRenamed("node", "v"), "v").groupBy("u").agg(F.min("label").alias("label")).withColumnRenamed("u", "node")
-        near, near_path = _written(near, "cc-near")
-        jumped = near.select("node", F.col("label").alias("at")).join(near.select(F.col("node").alias("at"), "label"), "at").select("node", "label")
-        before, (labels, path) = path, _written(jumped, "cc-labels")
-        for old in (before, near_path):
-            drop_path(edges.sparkSession, old)
-    drop_path(edges.sparkSession, ends_path)
-    return labels.withColumnRenamed("label", "component")
+    out = levels.pop().withColumnRenamed("label", "component")
+    while levels:
+        above = out.select(F.col("node").alias("label"), "component")
+        out = levels.pop().join(above, "label", "left").select("node", F.coalesce("component", "label").alias("component"))
+    return out
