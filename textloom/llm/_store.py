@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 #: Rows and bytes of an Arrow batch, at most.
-BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 500, 2 << 20
 
 _own: dict[str, str] = {}
 

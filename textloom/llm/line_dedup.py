@@ -26,7 +26,7 @@ def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     h, start, stop = words(data)
     if not len(h):
         return h, start, start, stop
-    lines = np.cumsum(data == 10)
+    lines = np.cumsum(data == 10, dtype=np.int32)
     last = np.isin(data[stop - 1], (0x21, 0x2E, 0x3F))
     last[:-1] |= lines[start[1:] - 1] > lines[stop[:-1] - 1]
     last[-1] = True
