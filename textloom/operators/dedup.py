@@ -12,6 +12,8 @@ from textloom.schema import PART_OR_VOLUME, tier_rank
 
 #: Characters of a canonical paragraph that counts.
 PARAGRAPH = 80
+#: Tasks among which the rows of one digest are dealt.
+SALTS = 16
 SORT = ("author", "work_id", "source_id", "version_id")
 
 
@@ -46,12 +48,16 @@ def groups(hashed, digest: str, member: str = "version_id"):
 def exact_decisions(hashed, row: str = "_ord"):
     """(row, version_id, text_sha256, keeper, kept, group_size) of every row: the first by sort key, then by row, is kept.
 
-    The keeper is found by an aggregate, which combines before its shuffle, and not by a window, which would gather a group in one task.
+    The keeper is found by an aggregate, which combines before its shuffle, and not by a window, which would gather a
+    group in one task. It is joined back by digest and salt, so that a group of a third of all rows is dealt to SALTS
+    tasks; digests that one row has aren't joined at all.
     """
     key = F.struct(sort_key().alias("k"), F.col(row).alias("row"), F.col("version_id").alias("version_id"))
-    first = hashed.groupBy("text_sha256").agg(F.min(key).alias("first"), F.count("*").alias("group_size"))
-    rows = hashed.select(row, "version_id", "text_sha256").join(first, "text_sha256")
-    return rows.select(row, "version_id", "text_sha256", F.col("first.version_id").alias("keeper"), (F.col(row) == F.col("first.row")).alias("kept"), "group_size")
+    first = hashed.groupBy("text_sha256").agg(F.min(key).alias("first"), F.count("*").alias("size")).where("size > 1")
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = hashed.select(row, "version_id", "text_sha256", F.pmod(F.xxhash64(row), F.lit(SALTS)).cast("int").alias("salt")).join(first, ["text_sha256", "salt"], "left")
+    keeper = F.when(F.col("first").isNull(), F.col("version_id")).otherwise(F.col("first.version_id"))
+    return rows.select(row, "version_id", "text_sha256", keeper.alias("keeper"), F.coalesce(F.col(row) == F.col("first.row"), F.lit(True)).alias("kept"), F.coalesce("size", F.lit(1)).alias("group_size"))
 
 
 def canonical_review(hashed):
