@@ -208,6 +208,16 @@ def test_acquire(spark, tmp_path):
     assert {r.status: r.bytes for r in acquire.outcomes(out).collect()} == {"downloaded": 3, "failed": 0}
 
 
+def test_sidecar_and_flags(spark, tmp_path):
+    from textloom.sources import files
+
+    acquire.write_sidecar({"version_id": "v1", "source_id": "1", "language": "en"}, [{"format": "txt", "status": "downloaded", "byte_count": 3}], str(tmp_path / "pg_1_v1"), "2026-01-01")
+    r = files.sidecars(spark, str(tmp_path)).first()
+    assert r.version_id == "v1" and r.artifacts[0].byte_count == 3 and r.manifest_record.language == "en"
+    df = spark.createDataFrame([(1, "x" * 9), (2, None), (3, "x" * 10)], "_dedup_a int, text string")
+    assert sorted(r[0] for r in select.short_texts(df, 10).collect()) == [1, 2] and select.without_internal(df).columns == ["text"]
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([(1, "a", "x\ny"), (2, "a", ""), (3, "b", "é"), (4, None, None)], "doc_id int, source string, text string")
     p = {r.source: (r.records, r.chars, r.bytes) for r in rollup.status_profile(df, "source").collect()}

@@ -1,6 +1,7 @@
 """Plans of what to fetch, records of what was fetched, and the fetch itself, which runs on the driver and only if asked for."""
 
 import hashlib
+import json
 import time
 import urllib.request
 from pathlib import Path
@@ -78,3 +79,14 @@ def fetch(rows, timeout: float = 60.0, pause: float = 0.5, agent: str = "textloo
             time.sleep(pause)
         out.append(entry)
     return out
+
+
+def write_sidecar(record: dict, artifacts: list[dict], folder: str, acquired_at_utc: str) -> Path:
+    """One file of what was acquired for a version, beside its artifacts, replaced as a whole."""
+    keys = ("version_id", "work_id", "source", "source_id", "source_url", "license_status", "license_rationale")
+    out = {**{k: record.get(k) for k in keys}, "acquired_at_utc": acquired_at_utc, "manifest_record": record, "artifacts": artifacts}
+    at = Path(folder) / "metadata.json"
+    at.parent.mkdir(parents=True, exist_ok=True)
+    part = at.with_name("metadata.json.part")
+    part.write_text(json.dumps(out, indent=2, sort_keys=True, ensure_ascii=False) + "\n", encoding="utf-8")
+    return part.replace(at)

@@ -78,3 +78,17 @@ def coverage_gaps(works, versions):
 def per_work(documents):
     """(work_id, documents): null is a work like others."""
     return documents.groupBy("work_id").agg(F.count("*").alias("documents"))
+
+
+def reconciled(counts, documents, totals):
+    """One row of checks: counts and documents name the same ids, and sums() of the counts adds up to totals' total in each dimension.
+
+    totals: rows of sums().
+    """
+    ids = lambda d: d.select("doc_id").distinct()
+    missing = ids(documents).join(ids(counts), "doc_id", "left_anti").agg(F.count("*").alias("without_count"))
+    extra = ids(counts).join(ids(documents), "doc_id", "left_anti").agg(F.count("*").alias("without_document"))
+    by = totals.groupBy("dimension").agg(F.sum("tokens").alias("t"))
+    uneven = by.agg((F.count_distinct("t") <= 1).alias("sums_agree"))
+    whole = counts.agg(F.coalesce(F.sum("token_count"), F.lit(0)).alias("tokens"))
+    return missing.join(F.broadcast(extra)).join(F.broadcast(uneven)).join(F.broadcast(whole))  # broadcast: one row each

@@ -96,3 +96,13 @@ def id_mismatch(left, right, key: str = "doc_id"):
 def first_artifact(artifacts, format: str):
     """The first element of an array of artifacts in a format, or null."""
     return F.get(F.filter(artifacts, lambda a: a["format"] == format), F.lit(0))
+
+
+def short_texts(documents, below: int = 10_000, text: str = "text"):
+    """Documents of fewer characters, to be looked at; a null text has none."""
+    return documents.where(F.coalesce(F.length(text), F.lit(0)) < below)
+
+
+def without_internal(rows, prefix: str = "_dedup_"):
+    """rows without the columns of a prefix."""
+    return rows.drop(*[c for c in rows.columns if c.startswith(prefix)])

@@ -310,6 +310,22 @@ def coverage_gaps(spark, sf_dir):
     return rollup.coverage_gaps(works, d.where("_ord % 100 = 7"))
 
 
+@query("SELECT doc_id, length(text)::BIGINT AS chars FROM documents WHERE length(text) < 300")
+def short_texts(spark, sf_dir):
+    return select.short_texts(table(spark, sf_dir, "documents"), 300).select("doc_id", fn.char_count(F.col("text")).alias("chars"))
+
+
+@query(f"WITH {_DOCS} SELECT 'by_source' AS kind, source AS key, count(*) AS n FROM d GROUP BY source UNION ALL SELECT 'by_quality_tier', quality_tier, count(*) FROM d GROUP BY quality_tier")
+def manifest_summary(spark, sf_dir):
+    return export.manifest_summary(documents(spark, sf_dir))
+
+
+@query(f"WITH {_TOKEN_COUNTS} SELECT 0::BIGINT AS without_count, 0::BIGINT AS without_document, true AS sums_agree, sum(token_count)::BIGINT AS tokens FROM t")
+def token_reconciliation(spark, sf_dir):
+    counts = tokens.count_records(documents(spark, sf_dir))
+    return rollup.reconciled(counts, documents(spark, sf_dir), rollup.sums(counts))
+
+
 # --- text ------------------------------------------------------------------------------------------------------------
 
 

@@ -80,5 +80,7 @@ def resolved_scans(versions, scores, texts, least: int = 100):
 
 
 def totals(documents):
-    """One row: records, characters, and records whose boilerplate was removed."""
-    return documents.agg(F.count("*").alias("records"), F.coalesce(F.sum("normalization.text_char_count"), F.lit(0)).alias("chars"), F.count(F.when(F.col("normalization.boilerplate_removed"), 1)).alias("boilerplate_removed"))
+    """One row: records, characters, records whose boilerplate was removed and, where texts have markers, those without an end."""
+    marked = "end_marker_found" in documents.schema["normalization"].dataType.names
+    ends = [F.count(F.when(~F.col("normalization.end_marker_found"), 1)).alias("missing_end_markers")] if marked else []
+    return documents.agg(*ends, F.count("*").alias("records"), F.coalesce(F.sum("normalization.text_char_count"), F.lit(0)).alias("chars"), F.count(F.when(F.col("normalization.boilerplate_removed"), 1)).alias("boilerplate_removed"))
