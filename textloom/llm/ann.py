@@ -21,8 +21,8 @@ SAMPLE = 20_000
 LIST, LISTS, PIECE = 512, 16_384, 2_048
 #: Candidates of a piece are ranked again if they come within so many standard errors of its kth approximate score.
 ERRORS = 4.0
-#: Sampled rows whose kth best score is a query's lower bound: what can't reach it is not passed on.
-BOUNDING = 8_192
+#: Sampled rows of the visited lists bound a query's scores from below by their BELOW * kth best: what can't reach it is not passed on. Twice k, so that k are left even if codes hide some.
+BOUNDING, BELOW = 8_192, 2
 #: A query visits so many lists that in the sample so large a share of true neighbours lies in them; measured on so many queries.
 SHARE, ASKED = 0.97, 500
 #: Codebooks, and entries of each.
@@ -157,16 +157,19 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
     index = fit(np.array([r.v for r in drawn], float), lists, share=share, k=k, seed=seed)
     visited = probes or index.probes
     sent = spark.sparkContext.broadcast(index)  # of a size that the parameters bound, like the next
-    bounding = spark.sparkContext.broadcast((np.array([r.vec_id for r in drawn[:BOUNDING]]), np.array([r.v for r in drawn[:BOUNDING]], float)))
+    some = drawn[:BOUNDING]
+    some_at = nearest(np.array([r.v for r in some], float), index.centers)
+    bounding = spark.sparkContext.broadcast((np.array([r.vec_id for r in some]), np.array([r.v for r in some], float), some_at))
 
-    def bounds(ids, x):
-        names, v = bounding.value
-        if len(names) <= k:
+    def bounds(ids, x, near):
+        names, v, at = bounding.value
+        if len(names) <= BELOW * k:
             return np.full(len(ids), -np.inf)
-        products = x @ v.T
-        products[ids[:, None] == names] = -np.inf
-        low = np.partition(products, len(names) - k, 1)[:, len(names) - k]
-        return low - 1e-9 * (np.abs(low) + 1)
+        seen = np.zeros((len(ids), len(sent.value.centers)), bool)
+        np.put_along_axis(seen, near, True, 1)
+        products = np.where(seen[:, at] & (ids[:, None] != names), x @ v.T, -np.inf)
+        low = np.partition(products, len(names) - BELOW * k, 1)[:, len(names) - BELOW * k]
+        return np.where(np.isneginf(low), low, low - 1e-9 * (np.abs(np.where(np.isneginf(low), 0, low)) + 1))
 
     def encoded(batches):
         for batch in batches:
@@ -189,7 +192,7 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
             near = held[np.argsort(-(x @ sent.value.centers[held].T), 1, kind="stable")[:, :visited]]
             for i in range(0, len(x), 1000):
                 some = near[i : i + 1000]
-                low = bounds(batch.column(0).to_numpy()[i : i + 1000], x[i : i + 1000])
+                low = bounds(batch.column(0).to_numpy()[i : i + 1000], x[i : i + 1000], some)
                 flat, times = some.ravel(), pieces[some.ravel()]
                 at = np.repeat(np.repeat(np.arange(i, i + len(some)), some.shape[1]), times)
                 part = np.concatenate([np.arange(t) for t in times])
