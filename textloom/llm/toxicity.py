@@ -22,7 +22,7 @@ from ._store import narrow
 #: Labelled documents to learn from, at most, of each label (those of the smallest hash of their doc_id).
 TOXIC_ROWS, ORDINARY_ROWS = 2_000, 4_000
 #: Words of a window, of which each is in two; bytes of either dictionary; ordinary windows to train on, at most.
-WINDOW, TOXIC_BYTES, ORDINARY_BYTES, TRAINING_WINDOWS = 8, 512, 16_384, 60_000
+WINDOW, TOXIC_BYTES, ORDINARY_BYTES, TRAINING_WINDOWS = 8, 512, 32_768, 60_000
 #: Differences in length are counted from LOW to HIGH, and beyond as these.
 LOW, HIGH = -2, 10
 
