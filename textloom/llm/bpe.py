@@ -24,6 +24,8 @@ PACK_CHARS = 1_000_000
 BUCKETS = 512
 #: Words whose ids a bucket remembers; beyond it the memory starts anew, which costs time only.
 REMEMBERED = 500_000
+#: Effort of compression, for numbers and for words.
+EFFORT, WORD_EFFORT = 9, 12
 #: Levels of frequency in a block.
 LEVELS = 7
 #: Between words: a byte that UTF-8 never has.
@@ -39,7 +41,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def _pack(a: np.ndarray) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(a.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes())
+    return zstandard.ZstdCompressor(level=EFFORT).compress(np.ascontiguousarray(a.astype("<u4")).view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
 def _unpack(b: bytes) -> np.ndarray:
@@ -54,7 +56,7 @@ def _pack_positions(at: np.ndarray, code: np.ndarray) -> list[bytes]:
     import zstandard
 
     short = code[at]
-    return [zstandard.ZstdCompressor(level=3).compress(short.tobytes()), _pack(at[short == 255])]
+    return [zstandard.ZstdCompressor(level=EFFORT).compress(short.tobytes()), _pack(at[short == 255])]
 
 
 def _unpack_positions(short: bytes, rest: bytes, top: np.ndarray) -> np.ndarray:
@@ -89,7 +91,7 @@ def _block(number: int, docs: list, words: dict[str, int], buckets: int, pack_ch
     top = number_of[np.argsort(-count, kind="stable")[:255]]
     code = np.full(len(by), 255, np.uint8)
     code[top] = np.arange(len(top), dtype=np.uint8)
-    zip_, rows, k = zstandard.ZstdCompressor(level=3), [], 0
+    zip_, rows, k = zstandard.ZstdCompressor(level=WORD_EFFORT), [], 0
     while k < len(docs):
         first, chars = k, 0
         while k < len(docs) and (k == first or chars + docs[k][2] <= pack_chars):
