@@ -35,6 +35,30 @@ def test_toxicity_on_held_out_rows(spark, make_docs, clashing):
     assert next(r for r in got if r.doc_id == 9002).predicted == 1
 
 
+def test_toxicity_of_beginnings_in_a_rarer_language():
+    """Toxic words of one language are always the same; those of the other begin alike, with pieces that its ordinary words hold too."""
+    rng = random.Random(3)
+    pieces = ["ach", "lich", "keit", "ung", "sch", "ver", "ein", "ber", "heit", "ge", "te", "st"]
+
+    def word(start=""):
+        return start + "".join(rng.choice(pieces) for _ in range(rng.randint(1, 3)))
+
+    texts, y, rare = [], [], []
+    for d in range(1500):
+        label, other = int(d % 8 == 0), d % 5 == 0
+        w = [word() for _ in range(150)] if other else prose(d, 150).split(" ")
+        for _ in range(6 * label):
+            w.insert(rng.randrange(len(w)), word("achlich") if other else rng.choice(BAD))
+        texts.append(" ".join(w))
+        y.append(label)
+        rare.append(other)
+    model = toxicity.train(texts[:1000], y[:1000])
+    got = [(model.scorer()(t) >= 0.7, label, other) for t, label, other in zip(texts[1000:], y[1000:], rare[1000:])]
+    for other in (False, True):
+        assert np.mean([p for p, label, o in got if label and o == other]) >= 0.7
+    assert np.mean([p for p, label, _ in got if not label]) < 0.02
+
+
 def test_models_without_labels(spark, make_docs):
     docs, none = make_docs([(1, "a b"), (2, None)]), spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r.score for r in toxicity.predict(docs, none).collect()} == {0.0}

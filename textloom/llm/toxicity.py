@@ -1,9 +1,10 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: on windows of ordinary documents, and on windows of toxic documents around the
-words that set these apart. The second holds the content of the first as well, so that ordinary text is as long under
-either and a window is shorter under the second only for what toxic text repeats. A document's score sums the log
-likelihood ratios of its windows' length differences, over its whole text, and is calibrated by isotonic regression.
+Two zstandard dictionaries are made: one trained on windows of ordinary documents, and that one followed by the words
+and beginnings of words, of any language, that are in significantly more toxic documents. Ordinary text is as long under
+either and a window is shorter under the second only for what toxic text repeats. The first letters of words are upper
+case, so that a beginning isn't found inside of words. A document's score sums the log likelihood ratios of its windows'
+length differences, over its whole text, and is calibrated by isotonic regression.
 """
 
 import math
@@ -11,6 +12,7 @@ import random
 import re
 from collections import Counter
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,11 @@ from ._store import narrow
 #: Labelled documents to learn from, at most, of each label (those of the smallest hash of their doc_id).
 TOXIC_ROWS, ORDINARY_ROWS = 2_000, 4_000
 #: Words of a window, of which each is in two; bytes of either dictionary; ordinary windows to train on, at most.
-WINDOW, TOXIC_BYTES, ORDINARY_BYTES, TRAINING_WINDOWS = 8, 512, 32_768, 60_000
+WINDOW, TOXIC_BYTES, ORDINARY_BYTES, TRAINING_WINDOWS = 8, 32_768, 32_768, 60_000
+#: Letters at the start of a word that are upper case; letters of a beginning, at least; documents that have it, at least.
+MARKED, LEAST, DOCUMENTS = 5, 3, 5
+#: Beginnings that would pass by chance, on average; one is left out if a longer one is in so large a share of its documents.
+CHANCE, COVERED = 0.01, 0.8
 #: Differences in length are counted from LOW to HIGH, and beyond as these.
 LOW, HIGH = -2, 10
 
@@ -33,10 +39,14 @@ def words(text: str | None) -> list[str]:
     return _NOT_WORDS.sub("", (text or "").lower()).split()
 
 
+def marked(word: str) -> str:
+    return word[:MARKED].upper() + word[MARKED:]
+
+
 def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
-    """Overlapping windows of a whole text; one, empty, for a text without words."""
-    w, half = words(text), max(1, size // 2)
-    return [(" ".join(w[i : i + size]) + " ").encode("utf-8", "replace") for i in range(0, max(1, len(w) - half), half)]
+    """Overlapping windows of a whole text, their words marked(); one, empty, for a text without words."""
+    w, half = [marked(x) for x in words(text)], max(1, size // 2)
+    return [(" " + " ".join(w[i : i + size]) + " ").encode("utf-8", "replace") for i in range(0, max(1, len(w) - half), half)]
 
 
 def _content(samples: list[bytes], size: int) -> bytes:
@@ -55,7 +65,7 @@ class _Lengths:
     def __init__(self, content: bytes):
         import zstandard
 
-        shape = zstandard.ZstdCompressionParameters(window_log=16, hash_log=14, chain_log=14, search_log=4, min_match=4, strategy=zstandard.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0)
+        shape = zstandard.ZstdCompressionParameters(window_log=17, hash_log=17, chain_log=17, search_log=4, min_match=4, strategy=zstandard.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0)
         own = {}
         if len(content) >= 8:
             own["dict_data"] = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -83,32 +93,50 @@ class Model:
         return lambda text: float(np.interp(self.ratio[_differences(a, b, windows(text))].sum(), self.knots, self.values))
 
 
+def _beginnings(texts: list[str | None], y: list[int]) -> list[str]:
+    """Words and beginnings of words that set toxic documents apart, the most significant first: of each of their words the most significant one."""
+    count = Counter(y)
+    found, seen = [], {0: set(), 1: set()}
+    for t, label in zip(texts, y):
+        # between the same neighbours once, or a text's copies would make all its words significant
+        w = ["", *(marked(x) + " " for x in words(t)), ""]
+        new = {hash(x): x[1] for x in zip(w, w[1:], w[2:])}
+        found.append({x for h, x in new.items() if h not in seen[label]})
+        seen[label].update(new)
+    del seen
+    enough, often, size = min(DOCUMENTS, count[1]), Counter(), LEAST
+    while True:
+        # a longer one is in no more documents
+        some = Counter(b for f, label in zip(found, y) if label for b in {w[:size] for w in f if len(w) >= size and (size == LEAST or w[: size - 1] in often)})
+        some = {b: n for b, n in some.items() if n >= enough}
+        if not some:
+            break
+        often.update(some)
+        size += 1
+    plain = Counter(b for f, label in zip(found, y) if not label for b in {w[:k] for w in f for k in range(LEAST, len(w) + 1)} & often.keys())
+
+    def apart(b):
+        p = (often[b] + plain[b]) / len(y)
+        return (often[b] / count[1] - plain[b] / count[0]) / math.sqrt(p * (1 - p) * (1 / count[0] + 1 / count[1]) + 1e-12)
+
+    least = NormalDist().inv_cdf(1 - CHANCE / max(1, len(often)))
+    score = {b: s for b in often if (s := apart(b)) > least}
+    covered = {b[:k] for b in score for k in range(LEAST, len(b)) if often[b] >= COVERED * often.get(b[:k], math.inf)}
+    rank = {b: (s, len(b), b) for b, s in score.items() if b not in covered}
+    best = {max(own, key=rank.get) for f, label in zip(found, y) if label for w in f if (own := [w[:k] for k in range(LEAST, len(w) + 1) if w[:k] in rank])}
+    return [" " + b for b in sorted(best, key=rank.get, reverse=True)]
+
+
 def train(texts: list[str | None], y: list[int], seed: int = 0) -> Model:
     """A model of labelled texts. Without both labels it gives the share of toxic ones (0 if there are none)."""
     count = Counter(y)
     if not (count[0] and count[1]):
         return Model(b"", b"", np.zeros(HIGH - LOW + 1), np.zeros(1), np.array([float(count[1] > 0)]))
-    in_docs = {0: Counter(), 1: Counter()}
-    for t, label in zip(texts, y):
-        in_docs[label].update(set(words(t)))
-
-    def apart(w):
-        p = (in_docs[1][w] + in_docs[0][w]) / len(y)
-        return (in_docs[1][w] / count[1] - in_docs[0][w] / count[0]) / math.sqrt(p * (1 - p) * (1 / count[0] + 1 / count[1]) + 1e-12)
-
-    score = {w: apart(w) for w, n in in_docs[1].items() if n >= min(5, count[1])}
-    most = max(score.values(), default=0)
-    chosen = {w for w, s in score.items() if s > most / 2}
-    around, plain = [], []
-    for t, label in zip(texts, y):
-        if label:
-            w = words(t)
-            around += [(" ".join(w[max(0, i - 1) : i + 2]) + " ").encode("utf-8", "replace") for i, x in enumerate(w) if x in chosen]
-        else:
-            plain += windows(t)
+    plain = [w for t, label in zip(texts, y) if not label for w in windows(t)]
     random.Random(seed).shuffle(plain)
     ordinary = _content(plain[:TRAINING_WINDOWS], ORDINARY_BYTES)
-    toxic = _content(around, TOXIC_BYTES) + ordinary
+    # the most significant last, where a match is cheapest
+    toxic = ordinary + "".join(reversed(_beginnings(texts, y))).encode("utf-8", "replace")[-TOXIC_BYTES:]
     a, b = _Lengths(ordinary), _Lengths(toxic)
     found = [_differences(a, b, windows(t)) for t in texts]
     share = [np.bincount(np.concatenate([d for d, label in zip(found, y) if label == k]), minlength=HIGH - LOW + 1) + 0.5 for k in (0, 1)]
