@@ -85,3 +85,19 @@ def test_ann_of_few(spark):
     assert ann.neighbours(spark.createDataFrame([], VECTORS)).collect() == []
     few = spark.createDataFrame([(0, [1.0, 0.0], 0), (1, [0.5, 0.0], 0), (2, [2.0, 0.0], 0)], VECTORS)
     assert [(r.query_id, r.vec_id, r.score) for r in ann.neighbours(few).orderBy("rank").collect()] == [(0, 2, 2.0), (0, 1, 0.5)]
+
+
+def test_ann_recall_on_rows_beyond_the_sample(spark, monkeypatch):
+    """Lists don't outgrow the sample that they are fitted on."""
+    sizes, plain = [], ann.fit
+    monkeypatch.setattr(ann, "fit", lambda x, lists, **how: (sizes.append((len(x), lists, len(how["measured"]))), plain(x, lists, **how))[1])
+    x = np.random.default_rng(7).normal(size=(6000, 16)).astype(np.float32)
+    x /= np.sqrt((x**2).sum(1, keepdims=True))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+    found = {}
+    for r in ann.neighbours(df, 20, list_rows=8, sample=800).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    s = x.astype(float) @ x.astype(float).T
+    np.fill_diagonal(s, -np.inf)
+    recall = np.mean([len(found[q] & set(np.argsort(-s[q])[:20].tolist())) / 20 for q in range(0, 6000, 20)])
+    assert sizes == [(800, 20, 200)] and recall >= 0.9, (sizes, recall)

@@ -17,6 +17,8 @@ from ._vectors import matrix, top, valid
 
 #: Rows to fit on, at most (those of the smallest hash of their vec_id).
 SAMPLE = 20_000
+#: Rows after these that scales, error and probes are measured on: one to so many of the sample. Rows of the sample to a list, at least.
+MEASURED, FITTED = 4, 39
 #: Rows of a list on average, lists at most, rows of a piece of a list on average.
 LIST, LISTS, PIECE = 512, 16_384, 2_048
 #: Candidates of a piece are ranked again if they come within so many standard errors of its kth approximate score.
@@ -88,19 +90,21 @@ def probes_for(sample: np.ndarray, centers: np.ndarray, share: float, k: int, rn
     return int(needed[min(len(needed) - 1, int(share * len(needed)))]) + 1
 
 
-def fit(sample: np.ndarray, lists: int, parts: int = PARTS, share: float = SHARE, k: int = 20, seed: int = 0) -> Index:
+def fit(sample: np.ndarray, lists: int, parts: int = PARTS, share: float = SHARE, k: int = 20, seed: int = 0, measured: np.ndarray | None = None) -> Index:
+    """Centers and codebooks of the sample; scales, error and probes from other rows, or from the sample if there are none."""
+    measured = sample if measured is None else measured
     rng, dim = np.random.default_rng(seed), sample.shape[1]
     centers = k_means(np.unique(sample, axis=0), lists, rng)
-    at = nearest(sample, centers)
-    rest = sample - centers[at]
-    spread = np.sqrt((rest**2).sum(1))
-    scales = np.array([np.median(spread[at == i]) if (at == i).any() else 0.0 for i in range(len(centers))])
+    at, seen = nearest(sample, centers), nearest(measured, centers)
+    rest, other = sample - centers[at], measured - centers[seen]
+    spread, other_spread = (np.sqrt((x**2).sum(1)) for x in (rest, other))
+    scales = np.array([np.median(other_spread[seen == i]) if (seen == i).any() else np.median(spread[at == i]) if (at == i).any() else 0.0 for i in range(len(centers))])
     scales = np.where(scales > 1e-12, scales, 1.0)
-    rest = rest / scales[at, None]
+    rest, other = rest / scales[at, None], other / scales[seen, None]
     cuts = [round(dim * (i + 1) / min(parts, dim)) for i in range(min(parts, dim))]
     books = [k_means(rest[:, a:b], CODES, rng, 8) for a, b in zip([0, *cuts], cuts)]
-    left = np.hstack([rest[:, a:b] - book[nearest(rest[:, a:b], book)] for a, b, book in zip([0, *cuts], cuts, books)])
-    return Index(centers, scales, cuts, books, float(np.sqrt((left**2).sum(1).mean())), probes_for(sample, centers, share, k, rng))
+    left = np.hstack([other[:, a:b] - book[nearest(other[:, a:b], book)] for a, b, book in zip([0, *cuts], cuts, books)])
+    return Index(centers, scales, cuts, books, float(np.sqrt((left**2).sum(1).mean())), probes_for(measured, centers, share, k, rng))
 
 
 def _search(sent, k: int, errors: float):
@@ -146,15 +150,19 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
     """
     spark = vectors.sparkSession
     rows = stage(valid(vectors, nonzero=True), "ann-vectors", spark)
-    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+    drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample + sample // MEASURED).collect()
     dims = np.array([len(r.v) for r in drawn] or [1])
     dim = int(np.bincount(dims).argmax())
     n = rows.where(F.size("v") == dim).count()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    lists = min(LISTS, max(1, ceil(n / list_rows)))
     drawn = [r for r in drawn if len(r.v) == dim]
-    index = fit(np.array([r.v for r in drawn], float), lists, share=share, k=k, seed=seed)
+    x = np.array([r.v for r in drawn], float)
+    # where the rows drawn are all there are, figures of all of them are those of the table
+    measured = x if n <= len(x) else x[sample * len(x) // (sample + sample // MEASURED) :]
+    fitted = x[:sample] if n <= len(x) else x[: len(x) - len(measured)]
+    lists = min(LISTS, max(1, ceil(n / list_rows)), max(1, len(fitted) // FITTED))
+    index = fit(fitted, lists, share=share, k=k, seed=seed, measured=measured)
     visited = probes or index.probes
     sent = spark.sparkContext.broadcast(index)  # of a size that the parameters bound, like the next
     some = drawn[:BOUNDING]
