@@ -101,3 +101,11 @@ def test_ann_recall_on_rows_beyond_the_sample(spark, monkeypatch):
     np.fill_diagonal(s, -np.inf)
     recall = np.mean([len(found[q] & set(np.argsort(-s[q])[:20].tolist())) / 20 for q in range(0, 6000, 20)])
     assert sizes == [(800, 20, 200)] and recall >= 0.9, (sizes, recall)
+
+
+def test_ann_goes_on_where_lists_are_short(spark):
+    """A query in a list of few rows has all its ranks although one list is visited."""
+    x = rows(9, 400, dim=4, clusters=3)
+    x[:5] = np.array([50.0, 0, 0, 0]) + 0.01 * x[:5]
+    got = ann.neighbours(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS), 20, probes=1, list_rows=50).collect()
+    assert sorted(r["rank"] for r in got if r.query_id == 0) == list(range(1, 21))

@@ -107,6 +107,14 @@ def fit(sample: np.ndarray, lists: int, parts: int = PARTS, share: float = SHARE
     return Index(centers, scales, cuts, books, float(np.sqrt((left**2).sum(1).mean())), probes_for(measured, centers, share, k, rng))
 
 
+def ranked(products: np.ndarray, held: np.ndarray, probes: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of each query by product, and how many of them it visits: probes, or more until they hold so many rows (all, if they never do). held: rows of each list."""
+    order = np.argsort(-products, 1, kind="stable")
+    enough = (np.cumsum(held[order], 1) < least).sum(1) + 1
+    times = np.minimum(np.maximum(enough, probes), order.shape[1])
+    return order[:, : times.max(initial=0)], times
+
+
 def _search(sent, k: int, errors: float):
     """Of a piece of a list and the queries that visit it: each query's k best."""
 
@@ -145,8 +153,8 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
 
     Scores are inner products of the original vectors in double precision. probes: lists that a query visits; without
     it, as many as hold the given share of neighbours in the sample. Which vectors take part: see valid(); zero
-    vectors don't. Only vectors as long as most of the sample are indexed. Ties go to the smaller vec_id. A query that
-    finds fewer than k in its lists has those. A list of many rows is searched in pieces, which are dealt evenly.
+    vectors don't. Only vectors as long as most of the sample are indexed. Ties go to the smaller vec_id. A query goes
+    on to further lists until they hold k other rows. A list of many rows is searched in pieces, which are dealt evenly.
     """
     spark = vectors.sparkSession
     rows = stage(valid(vectors, nonzero=True), "ann-vectors", spark)
@@ -163,18 +171,17 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
     fitted = x[:sample] if n <= len(x) else x[: len(x) - len(measured)]
     lists = min(LISTS, max(1, ceil(n / list_rows)), max(1, len(fitted) // FITTED))
     index = fit(fitted, lists, share=share, k=k, seed=seed, measured=measured)
-    visited = probes or index.probes
     sent = spark.sparkContext.broadcast(index)  # of a size that the parameters bound, like the next
     some = drawn[:BOUNDING]
     some_at = nearest(np.array([r.v for r in some], float), index.centers)
     bounding = spark.sparkContext.broadcast((np.array([r.vec_id for r in some]), np.array([r.v for r in some], float), some_at))
 
-    def bounds(ids, x, near):
+    def bounds(ids, x, near, visited):
         names, v, at = bounding.value
         if len(names) <= BELOW * k:
             return np.full(len(ids), -np.inf)
         seen = np.zeros((len(ids), len(sent.value.centers)), bool)
-        np.put_along_axis(seen, near, True, 1)
+        np.put_along_axis(seen, near, visited, 1)
         products = np.where(seen[:, at] & (ids[:, None] != names), x @ v.T, -np.inf)
         low = np.partition(products, len(names) - BELOW * k, 1)[:, len(names) - BELOW * k]
         return np.where(np.isneginf(low), low, low - 1e-9 * (np.abs(np.where(np.isneginf(low), 0, low)) + 1))
@@ -187,9 +194,9 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
 
     rows = rows.where(F.size("v") == dim)
     indexed = stage(rows.mapInArrow(encoded, "vec_id bigint, v array<double>, list int, code binary"), "ann-index", spark)
-    pieces = np.zeros(len(index.centers), np.int64)
+    pieces, in_list = np.zeros((2, len(index.centers)), np.int64)
     for r in indexed.groupBy("list").count().collect():  # a row for each list
-        pieces[r["list"]] = ceil(r["count"] / piece)
+        pieces[r["list"]], in_list[r["list"]] = ceil(r["count"] / piece), r["count"]
 
     def visits(batches):
         for batch in batches:
@@ -197,12 +204,13 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
             if not batch.num_rows:
                 continue
             held = np.flatnonzero(pieces)
-            near = held[np.argsort(-(x @ sent.value.centers[held].T), 1, kind="stable")[:, :visited]]
+            order, lengths = ranked(x @ sent.value.centers[held].T, in_list[held], probes or sent.value.probes, k + 1)
+            near, visited = held[order], np.arange(order.shape[1]) < lengths[:, None]
             for i in range(0, len(x), 1000):
-                some = near[i : i + 1000]
-                low = bounds(batch.column(0).to_numpy()[i : i + 1000], x[i : i + 1000], some)
-                flat, times = some.ravel(), pieces[some.ravel()]
-                at = np.repeat(np.repeat(np.arange(i, i + len(some)), some.shape[1]), times)
+                some, there = near[i : i + 1000], visited[i : i + 1000]
+                low = bounds(batch.column(0).to_numpy()[i : i + 1000], x[i : i + 1000], some, there)
+                flat, times = some[there], pieces[some[there]]
+                at = np.repeat(np.repeat(np.arange(i, i + len(some)), there.sum(1)), times)
                 part = np.concatenate([np.arange(t) for t in times])
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(flat, times).astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(low[at - i])], ["list", "piece", "vec_id", "v", "low"])
 
