@@ -59,6 +59,47 @@ def test_toxicity_of_beginnings_in_a_rarer_language():
     assert np.mean([p for p, label, _ in got if not label]) < 0.02
 
 
+def test_toxicity_scores_against_plain_code():
+    """Scores, ratios and calibration again from the dictionaries alone, a document and a window at a time."""
+    import zstandard
+
+    rows, labels = toxic_corpus(200)
+    texts, y = [t for _, t in rows], [t for _, _, t in labels]
+    model = toxicity.train(texts, y)
+
+    def length(content, window):
+        shape = zstandard.ZstdCompressionParameters(window_log=17, hash_log=17, chain_log=17, search_log=4, min_match=4, strategy=zstandard.STRATEGY_BTOPT, write_checksum=0, write_content_size=0, write_dict_id=0)
+        return len(zstandard.ZstdCompressor(compression_params=shape, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress(window))
+
+    def plain(text):
+        w = [x[:5].upper() + x[5:] for x in "".join(c for c in text.lower() if c.isalnum() or c.isspace()).split()]
+        total, at = 0.0, 0
+        while True:
+            window = (" " + " ".join(w[at : at + 8]) + " ").encode()
+            d = length(model.ordinary, window) - length(model.toxic, window)
+            total += model.ratio[min(max(d, toxicity.LOW), toxicity.HIGH) - toxicity.LOW]
+            at += 4
+            if at >= len(w) - 4:
+                return total
+
+    score = model.scorer()
+    for t in (*texts[:12], "", "one", "a b c d e", texts[5] * 30):
+        x = plain(t)
+        below, above = max((k for k in model.knots if k <= x), default=model.knots[0]), min((k for k in model.knots if k >= x), default=model.knots[-1])
+        a, b = (float(model.values[list(model.knots).index(k)]) for k in (below, above))
+        assert score(t) == pytest.approx(a if below == above else a + (b - a) * (x - below) / (above - below) if below <= x <= above else float(np.interp(x, model.knots, model.values)))
+    # the toxic dictionary is trained on nothing but words of toxic documents
+    known = {w for t, label in zip(texts, y) if label for w in toxicity.words(t)}
+    assert {w for t, label in zip(texts, y) if label for w in toxicity.passages(t, {"ZORKW"}).decode().lower().split()} <= known
+
+
+def test_toxicity_learns_from_one_row_of_a_repeated_doc_id(spark, make_docs):
+    rows, labels = toxic_corpus(60)
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    one, many = (toxicity.fit(make_docs(r), table) for r in (rows, rows + rows[:20] * 3))
+    assert one.ordinary == many.ordinary and one.toxic == many.toxic and np.allclose(one.ratio, many.ratio)
+
+
 def test_models_without_labels(spark, make_docs):
     docs, none = make_docs([(1, "a b"), (2, None)]), spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert {r.score for r in toxicity.predict(docs, none).collect()} == {0.0}
