@@ -43,6 +43,8 @@ def test_layout_text():
     xml = LAYOUT.format(glyphs("ab_cd"), "<charParams> </charParams>" + glyphs("e"), glyphs("f")).encode()
     assert markup.layout_text(io.BytesIO(xml)) == "ab cd\n e\n\nf"
     assert markup.file_text("x_abbyy.gz", gzip.compress(xml)) == "ab cd\n e\n\nf"
+    odd = b'<document><charParams/><charParams wordStart="true">a</charParams><line/><par><line><charParams> </charParams></line></par><charParams wordStart="true">b </charParams><charParams wordStart="true">c</charParams></document>'
+    assert markup.layout_text(io.BytesIO(odd)) == " a\n \n\nb  c"
     assert markup.file_text("x.gz", gzip.compress(b"plain \xff")) == "plain �" and markup.file_text("x.gz", b"broken") == "" and markup.file_text("x.pdf", b"x") == ""
     z = io.BytesIO()
     with zipfile.ZipFile(z, "w") as f:
