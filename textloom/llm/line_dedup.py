@@ -1,109 +1,76 @@
-"""Repeated runs of lines, by winnowing.
-
-A line's units are its sentences, so that a passage is found within a longer line too. Windows are the shortest runs
-of units with so many words, grams shorter ones; of the grams in each window that of the smallest hash is a
-fingerprint, so that equal windows have equal fingerprints. Windows whose fingerprint occurs more than once are
-joined by content, each also with the units up to the next window's end; what occurred earlier is extended both ways by
-the windows that overlap it, and the later run goes.
+"""Repeated passages, by winnowing.
+
+Lines hold passages within longer ones, so that what is hashed is a line's words, in order: grams of so many words.
+Of the grams in each window that of the smallest hash is a fingerprint, so that equal windows have equal fingerprints,
+and a window of the least length that counts has one for certain. The windows around one fingerprint are its block.
+Places of repeated fingerprints meet by the content of their blocks; a block that occurred earlier is a repeated run,
+whole. Of blocks that are the first of their content but share their fingerprint with others, the windows meet one by
+one, which finds where a run begins and ends, to the word. Blocks and windows that overlap extend a run both ways.
 """
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ._store import narrow, partitions, stage
 from ._words import Prefix, lowered, mix, words
 
 #: Words of a run that is removed, at least, and of a gram.
-WINDOW, GRAM = 50, 25
-#: The filter of repeated fingerprints: segments, and bits of each. Of a fixed size; where it is too small for a corpus, more windows are joined in vain.
+WINDOW, GRAM = 50, 16
+#: A bit map: segments, and bits of each. Of a fixed size; where it is too small for a corpus, more blocks and windows are joined in vain.
 SEGMENTS, SEGMENT_BITS = 64, 1 << 20
-
-
-def units(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, words, start, stop) of each unit of a text's bytes: words up to a line's end, or to one that ends in a full stop, question or exclamation mark. Spacing within it doesn't count."""
-    h, start, stop = words(data)
-    if not len(h):
-        return h, start, start, stop
-    lines = np.cumsum(data == 10, dtype=np.int32)
-    last = np.isin(data[stop - 1], (0x21, 0x2E, 0x3F))
-    last[:-1] |= lines[start[1:] - 1] > lines[stop[:-1] - 1]
-    last[-1] = True
-    to = np.flatnonzero(last) + 1
-    of = np.concatenate([[0], to[:-1]])
-    return Prefix(h)(of, to), to - of, start[of], stop[to - 1]
+#: Keys with more than this share of all places, and so many, are joined by broadcast: there are 1 / HOT of them at most.
+HOT, LEAST_HOT = 1 / 4096, 1000
 
 
 class Batch:
-    """Units of several texts, one after the other: ends[i] is where those of text i end, end that of each unit's text.
-
-    A window starts at a unit and ends before stop, if that many words follow in its text.
-    """
+    """Words of several texts, one after the other: ends[i] is where those of text i end."""
 
     def __init__(self, texts: list[str | None], window: int = WINDOW, gram: int = GRAM):
         datas = [lowered(t) for t in texts]
-        # a line end between texts ends a unit
         joined = np.concatenate([x for d in datas for x in (d, [10])] or [np.zeros(0)]).astype(np.uint8)
-        self.hashes, self.size, start, _ = units(joined)
-        begins = np.cumsum([0] + [len(d) + 1 for d in datas])
-        self.ends = np.searchsorted(start, begins[1:])
-        self._measure(window, gram)
-
-    @classmethod
-    def of(cls, hashes: np.ndarray, size: np.ndarray, ends: np.ndarray, window: int = WINDOW, gram: int = GRAM):
-        self = cls.__new__(cls)
-        self.hashes, self.size, self.ends = hashes, size, ends
-        self._measure(window, gram)
-        return self
-
-    def _measure(self, window: int, gram: int) -> None:
-        n, total = len(self.hashes), np.concatenate([[0], np.cumsum(self.size)])
+        self.hashes, start, _ = words(joined)
+        self.ends = np.searchsorted(start, np.cumsum([len(d) + 1 for d in datas]))
         self.text = np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
-        self.end = self.ends[self.text]
-        self.hash = Prefix(self.hashes)
-        self.stop, self.gram_stop = (np.searchsorted(total, total[:-1] + x) for x in (window, gram))
-        self.starts = np.flatnonzero(self.stop <= self.end) if n else np.zeros(0, np.int64)
-
-    def prints(self) -> tuple[np.ndarray, np.ndarray]:
-        """Each window's fingerprint, and the unit where it starts: the gram of the smallest hash, the last of equal ones."""
-        at, n = np.arange(len(self.gram_stop)), len(self.hashes)
-        value, chosen = self.hash(at, np.minimum(self.gram_stop, n)), self.starts.copy()
-        last = np.searchsorted(self.gram_stop, self.stop[self.starts], "right") - 1
-        for d in range(1, int((last - self.starts).max(initial=0)) + 1):
-            i = np.flatnonzero(self.starts + d <= last)
-            i = i[value[self.starts[i] + d] <= value[chosen[i]]]
-            chosen[i] = self.starts[i] + d
-        return value[chosen], chosen
-
-    def places(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, start and stop of the windows at these starts, and of each with one unit more and more while that ends before the next window does.
-
-        Any run of so many words is the union of those of its windows: the shortest ones from each unit on, and up to each.
-        """
-        following = np.minimum(starts + 1, len(self.stop) - 1)
-        more = (starts + 1 < self.end[starts]) & (self.stop[following] <= self.end[starts])
-        size = np.where(more, np.maximum(self.stop[following] - self.stop[starts], 1), self.end[starts] - self.stop[starts] + 1)
-        start = np.repeat(starts, size)
-        stop = np.repeat(self.stop[starts] - np.cumsum(size) + size, size) + np.arange(size.sum())
-        return self.hash(start, stop), start, stop
-
-
-def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
-
-
-def _measured(window: int, gram: int):
+        self.begins = np.concatenate([[0], self.ends])
+        self.hash, self.window, self.gram = Prefix(self.hashes), window, gram
+
+    def blocks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(fingerprint, key, start, stop): of each place where a fingerprint was chosen, the words of all windows that chose it. A window's fingerprint is its gram of the smallest hash, the last of equal ones."""
+        n, none = len(self.hashes), np.zeros(0, np.int64)
+        if n < self.window:
+            return none.astype(np.uint64), none.astype(np.uint64), none, none
+        at = np.arange(n - self.gram + 1)
+        value = self.hash(at, at + self.gram)
+        wide, chosen = self.window - self.gram + 1, at
+        # the smallest of 1, 2, 4 ... grams from each on, and of as many as a window has
+        size = 1
+        while size < wide:
+            by = min(size, wide - size)
+            a, b = chosen[:-by], chosen[by:]
+            chosen = np.where(value[b] <= value[a], b, a)
+            size += by
+        starts = np.flatnonzero(np.arange(len(chosen)) + self.window <= self.ends[self.text[: len(chosen)]])
+        if not len(starts):
+            return none.astype(np.uint64), none.astype(np.uint64), none, none
+        picked = chosen[starts]
+        first = np.concatenate([[True], picked[1:] != picked[:-1]])
+        last = np.append(first[1:], True)
+        start, stop, picked = starts[first], starts[last] + self.window, picked[first]
+        return value[picked], mix(self.hash(start, stop) + (picked - start).astype(np.uint64)), start, stop
+
+
+def _rows(batch, texts: np.ndarray, begins: np.ndarray, start: np.ndarray, stop: np.ndarray, **columns):
+    """A batch of places: given columns, doc_id, h, and start and stop within the text."""
+    at = pa.array(texts)
+    own = {k: pa.array(v.view(np.int64)) for k, v in columns.items()}
+    return pa.RecordBatch.from_arrays([*own.values(), batch.column(0).take(at), batch.column(1).take(at), pa.array((start - begins[texts]).astype(np.int32)), pa.array((stop - begins[texts]).astype(np.int32))], [*own, "doc_id", "h", "start", "stop"])
+
+
+def _prints(window: int, gram: int):
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            b = Batch(batch.column(2).to_pylist(), window, gram)
-            found, at = b.prints()
-            # once for each place
-            new = np.diff(at, prepend=-1) != 0
-            ends = np.searchsorted(b.text[at[new]], np.arange(batch.num_rows), "right")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _lists(b.hashes.view(np.int64), b.ends), _lists(b.size.astype(np.int32), b.ends), _lists(found[new].view(np.int64), ends)], ["doc_id", "h", "units", "words", "prints"])
+            yield pa.RecordBatch.from_arrays([pa.array(Batch(batch.column(2).to_pylist(), window, gram).blocks()[0].view(np.int64))], ["print"])
 
     return run
 
@@ -115,7 +82,7 @@ def _bits(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _filter(often) -> np.ndarray:
-    """A bit map of the fingerprints, segment by segment; each is made by one task, and the driver gets a map of fixed size."""
+    """A bit map of the numbers in a column print, segment by segment; each is made by one task, and the driver gets a map of fixed size."""
 
     def run(batches):
         maps: dict[int, np.ndarray] = {}
@@ -134,69 +101,128 @@ def _filter(often) -> np.ndarray:
     return out
 
 
-_PLACE = "key bigint, doc_id bigint, h bigint, start int, stop int"
+def _known(map_: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    segment, bits = _bits(prints)
+    return (map_[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0)
 
 
-def _windows(sent, window: int, gram: int):
-    """Windows whose fingerprint the filter has."""
+def _blocks(sent, window: int, gram: int):
+    """Blocks whose fingerprint the bit map has."""
 
     def run(batches):
-        names = [x.split()[0] for x in _PLACE.split(", ")]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ends = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy()).astype(np.int64)
-            b = Batch.of(batch.column(2).flatten().to_numpy().view(np.uint64), batch.column(3).flatten().to_numpy().astype(np.int64), ends, window, gram)
-            segment, bits = _bits(b.prints()[0])
-            found = b.starts[(sent.value[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0)]
-            if not len(found):
+            b = Batch(batch.column(2).to_pylist(), window, gram)
+            prints, key, start, stop = b.blocks()
+            keep = _known(sent.value, prints)
+            prints, key, start, stop = prints[keep], key[keep], start[keep], stop[keep]
+            yield _rows(batch, b.text[start], b.begins, start, stop, key=key, print=prints)
+
+    return run
+
+
+def _place(key: np.ndarray, doc: pa.Array, h: pa.Array, start: np.ndarray) -> np.ndarray:
+    """A number for a block at a place; a null doc_id counts as 0, as h tells texts apart."""
+    ids, own = (x.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for x in (doc, h))
+    return mix(mix(key.view(np.uint64) ^ mix(ids)) ^ mix(own + start.astype(np.uint64)))
+
+
+def _opened(sent):
+    """Of the first blocks of their content, the places of those whose fingerprint the bit map has."""
+
+    def run(batches):
+        for batch in batches:
+            keep = np.flatnonzero(_known(sent.value, batch.column(1).to_numpy().view(np.uint64)))
+            at = pa.array(keep)
+            key, doc, h, start = (batch.column(i).take(at) for i in (0, 2, 3, 4))
+            yield pa.RecordBatch.from_arrays([pa.array(_place(key.to_numpy(), doc, h, start.to_numpy()).view(np.int64))], ["print"])
+
+    return run
+
+
+def _windows(shared, places, window: int, gram: int):
+    """The windows, one by one, of blocks whose fingerprint and place the bit maps have."""
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            key, start, stop = b.places(found)
-            text = b.text[start]
-            at, first = pa.array(text), np.concatenate([[0], ends])[text]
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column(0).take(at), batch.column(1).take(at), pa.array((start - first).astype(np.int32)), pa.array((stop - first).astype(np.int32))], names)
+            b = Batch(batch.column(2).to_pylist(), window, gram)
+            prints, key, start, stop = b.blocks()
+            keep = np.flatnonzero(_known(shared.value, prints))
+            at = pa.array(b.text[start[keep]])
+            keep = keep[_known(places.value, _place(key[keep], batch.column(0).take(at), batch.column(1).take(at), start[keep] - b.begins[b.text[start[keep]]]))]
+            count = stop[keep] - window - start[keep] + 1
+            ends = np.cumsum(count)
+            each = np.repeat(start[keep] - (ends - count), count) + np.arange(count.sum())
+            yield _rows(batch, b.text[each], b.begins, each, each + window, key=b.hash(each, each + window))
 
     return run
 
 
+_ORDER = "struct(doc_id is null as none, doc_id, h, start, stop)"
+
+
+def _firsts(places, *more):
+    """(key, of, n, ...): the first place of each key, and how many it has."""
+    return places.groupBy("key").agg(F.min(F.expr(_ORDER)).alias("of"), F.count("*").alias("n"), *more)
+
+
+def _later(places, firsts):
+    """(doc_id, h, start, stop) of the places that aren't the first of their key. places is a stored table. In the document of the first one only what lies after it."""
+    most = max(LEAST_HOT, int(places.count() * HOT))
+    hot = firsts.where(F.col("n") > most).select("key", "of")
+    rest = firsts.where((F.col("n") > 1) & (F.col("n") <= most)).select("key", "of")
+    # broadcast: more than a share HOT of the places each, so 1 / HOT keys at most. merge: else a small side would be broadcast, and a larger input would be another plan
+    both = places.join(F.broadcast(hot), "key").unionByName(places.join(F.broadcast(hot.select("key")), "key", "left_anti").join(rest.hint("merge"), "key"))
+    same = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h"))
+    own = F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start"))
+    return both.where(~(same & (F.col("start") == F.col("of.start")))).select("doc_id", "h", own.alias("start"), "stop").where("start < stop")
+
+
 def repeated_runs(docs, window: int = WINDOW, gram: int = GRAM):
-    """(doc_id, h, runs array<struct<start, stop>>): runs of units that occur in a document of a smaller doc_id, or earlier in the same one.
+    """(doc_id, h, runs array<struct<start, stop>>): runs of words that occur in a document of a smaller doc_id, or earlier in the same one.
 
     h is xxhash64 of the text: rows of one doc_id and different texts are documents in order of h, and rows equal in
     both are one document. A null doc_id comes after all others. Every run of window words or more that occurred
-    before is found, and nothing else (gram at most half of window); a unit counts as a whole only. Within one
-    document a run doesn't reach into the earlier one that stays.
+    before is found, and nothing else. Within one document a run doesn't reach into the earlier one that stays.
     """
     spark = docs.sparkSession
     texts = narrow(docs, doc_id="bigint", text="string").select("doc_id", F.xxhash64("text").alias("h"), "text")
-    measured = stage(texts.mapInArrow(_measured(window, gram), "doc_id bigint, h bigint, units array<bigint>, words array<int>, prints array<bigint>"), "line-units", spark)
-    often = measured.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    sent = spark.sparkContext.broadcast(_filter(often))
-    places = stage(measured.select("doc_id", "h", "units", "words").mapInArrow(_windows(sent, window, gram), _PLACE), "line-windows", spark)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "start", "stop")
-    first = stage(places.groupBy("key").agg(F.min(order).alias("of"), F.count("*").alias("n")).where("n > 1").select("key", "of"), "line-first", spark)
-    same = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h"))
-    later = places.join(first, "key").where(~(same & (F.col("start") == F.col("of.start"))))
-    runs = later.select("doc_id", "h", F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start")).alias("start"), "stop")
-    return runs.where("start < stop").groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
+
+    def bit_map(column):
+        return spark.sparkContext.broadcast(_filter(column))
+
+    often = texts.mapInArrow(_prints(window, gram), "print bigint").groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    blocks = stage(texts.mapInArrow(_blocks(bit_map(often), window, gram), "key bigint, print bigint, doc_id bigint, h bigint, start int, stop int"), "line-blocks", spark)
+    first = stage(_firsts(blocks, F.first("print").alias("print")), "line-first-blocks", spark)
+    # a fingerprint of several contents: there windows are compared, of the first block of each
+    shared = bit_map(first.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"))
+    opened = first.select("key", "print", "of.doc_id", "of.h", "of.start").mapInArrow(_opened(shared), "print bigint")
+    windows = stage(texts.mapInArrow(_windows(shared, bit_map(opened), window, gram), "key bigint, doc_id bigint, h bigint, start int, stop int"), "line-windows", spark)
+    later = _later(blocks, first).unionByName(_later(windows, stage(_firsts(windows).where("n > 1"), "line-first-windows", spark)))
+    return later.groupBy("doc_id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("runs"))
 
 
-def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], list[int]]:
-    """The text without the units of the runs and the white space after them; the spans of bytes that went; the words of each unit that went."""
+def cut(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]], int]:
+    """The text without the words of the runs and the white space after them; the spans of bytes that went; how many words they had."""
     data = text.encode("utf-8", "replace")
-    _, size, start, _ = units(lowered(text))
-    gone = np.zeros(len(size), bool)
+    start = words(lowered(text))[1]
+    edge = np.zeros(len(start) + 1, np.int64)
     for a, b in runs:
-        gone[a:b] = True
+        edge[a] += 1
+        edge[b] -= 1
+    gone = np.cumsum(edge[:-1]) > 0
     start = np.append(start, len(data))
-    edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-    spans = [(int(start[a]), int(start[b])) for a, b in zip(edge[::2], edge[1::2])]
+    ends = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
+    spans = [(int(start[a]), int(start[b])) for a, b in zip(ends[::2], ends[1::2])]
     kept, at = [], 0
     for a, b in spans:
         kept.append(data[at:a])
         at = b
     out = (b"".join(kept) + data[at:]).decode("utf-8", "replace")
-    return (out.rstrip() if spans and at == len(data) else out), spans, size[gone].tolist()
+    return (out.rstrip() if spans and at == len(data) else out), spans, int(gone.sum())
 
 
 def _with_runs(docs, window: int, gram: int):
@@ -208,9 +234,9 @@ def _with_runs(docs, window: int, gram: int):
 
 
 def report(docs, window: int = WINDOW, gram: int = GRAM):
-    """(doc_id, n_removed, removed_words, spans array<struct<start, stop>>, text) of every row: spans of bytes of the original text that repeat an earlier run, and the text without them.
+    """(doc_id, n_removed, removed_words, spans array<struct<start, stop>>, text) of every row: how many spans of the original text (in bytes) repeat earlier runs, their words, and the text without them.
 
-    A null or empty text has no units and keeps its value. See repeated_runs() for what counts as earlier.
+    A null or empty text has no words and keeps its value; repeated rows and ties: see repeated_runs(); very long texts are read whole.
     """
     rows, _ = _with_runs(narrow(docs, doc_id="bigint", text="string"), window, gram)
 
@@ -220,8 +246,8 @@ def report(docs, window: int = WINDOW, gram: int = GRAM):
                 continue
             out = []
             for text, runs in zip(batch.column(1), batch.column(2).to_pylist()):
-                new, spans, size = cut(text.as_py(), [(r["start"], r["stop"]) for r in runs]) if runs else (text.as_py(), [], [])
-                out.append((len(size), sum(size), [{"start": a, "stop": b} for a, b in spans], new))
+                new, spans, size = cut(text.as_py(), [(r["start"], r["stop"]) for r in runs]) if runs else (text.as_py(), [], 0)
+                out.append((len(spans), size, [{"start": a, "stop": b} for a, b in spans], new))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip(zip(*out), kinds))], ["doc_id", "n_removed", "removed_words", "spans", "text"])
 
