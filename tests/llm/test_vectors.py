@@ -35,26 +35,65 @@ def test_top_k_equals_brute_force(spark, clashing, how, equal):
     assert not [r for r in got if r.query_id >= 10_000 and r.query_id != 10_100]
 
 
-def test_tree_covers_and_prunes():
-    x = rows(3, 3000, dim=3, clusters=40)
-    root = cover_tree.build(x.astype(float), 16)
-
-    def check(node):
+def check_tree(root, x, leaf):
+    for node in (todo := [root]):
         d = np.sqrt(((x[node.points] - node.center) ** 2).sum(1))
         assert d.max(initial=0) <= node.radius + 1e-6
         if node.children:
-            assert sorted(p for c in node.children for p in c.points) == sorted(node.points)
-        for c in node.children:
-            check(c)
-
-    check(root)
-    assert root.children
-    stats = {}
-    q = np.arange(0, 3000, 20)
-    scores, ids = cover_tree.search(x[q].astype(float), q, x.astype(float), np.arange(3000), 5, stats)
-    s = x[q].astype(float) @ x.astype(float).T
+            assert sorted(p for c in node.children for p in c.points) == sorted(node.points) and all(len(c.points) for c in node.children)
+            assert 2 <= len(node.children) <= cover_tree.CHILDREN
+            todo.extend(node.children)
+        else:
+            assert len(node.points) <= leaf or not np.ptp(x[node.points], axis=0).any()
+
+
+@pytest.mark.parametrize("dim, clusters, equal", [(3, 40, 0), (64, 1, 0), (64, 1, 900), (2, 1, 3000)])
+def test_every_leaf_is_small(dim, clusters, equal):
+    """Also where all points lie about equally apart."""
+    x = rows(3, 3000, dim=dim, clusters=clusters, equal=equal).astype(float)
+    check_tree(cover_tree.build(x, 16), x, 16)
+    scales = np.concatenate([x[:50] * 10.0**-i for i in range(40)])  # a level for each scale
+    check_tree(cover_tree.build(scales, 4), scales, 4)
+
+
+def test_tree_prunes():
+    x = rows(3, 3000, dim=3, clusters=40).astype(float)
+    stats, q = {}, np.arange(0, 3000, 20)
+    scores, ids = cover_tree.search(x[q], q, x, np.arange(3000), 5, stats=stats)
+    s = x[q] @ x.T
     s[np.arange(len(q)), q] = -np.inf
-    assert np.allclose(scores, -np.sort(-s, 1)[:, :5]) and stats["pairs"] < 0.7 * len(q) * 3000
+    assert np.allclose(scores, -np.sort(-s, 1)[:, :5]) and stats["pairs"] < 0.5 * len(q) * 3000
+    low = scores[:, 4].copy()
+    again, _ = cover_tree.search(x[q], q, x, np.arange(3000), 5, low, stats := {})
+    assert np.allclose(scores, again)
+
+
+def test_top_k_sends_queries_to_balls_within_reach(spark, monkeypatch):
+    """On clustered vectors most pairs of balls and queries are never sent."""
+    x = rows(11, 4000, dim=4, clusters=25)
+    seen, plain = [], cover_tree.stage
+    monkeypatch.setattr(cover_tree, "stage", lambda df, label, spark=None: (seen.append((label, out := plain(df, label, spark))), out)[1])
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], VECTORS)
+    got = cover_tree.top_k(df, 20, value=cover_tree.quantised(64), block=200, query_block=40, sample=1000).collect()
+    assert {(r.query_id, r["rank"], r.vec_id, int(r.score)) for r in got} == brute(x, 20, lambda x: np.floor(64 * x))
+    table = dict(seen)
+    whole = table["cover-dealt"].select("d").distinct().count() * 200
+    assert table["cover-visits"].select("d", "vec_id").distinct().count() < 0.5 * whole
+
+
+@pytest.mark.parametrize("search", [lambda df: cover_tree.top_k(df, 3, sample=40), lambda df: ann.neighbours(df, 3)])
+def test_each_length_is_searched_apart(spark, search):
+    rng = np.random.default_rng(2)
+    x = [rng.normal(size=8 if i % 40 else 5 if i % 3 else 2).tolist() for i in range(400)]
+    got = {}
+    for r in search(spark.createDataFrame([(i, v, 0) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int")).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
+    right = 0
+    for q in range(0, 400, 20):
+        want = sorted((i for i in range(400) if i != q and len(x[i]) == len(x[q])), key=lambda i: (-np.dot(x[i], x[q]), i))[:3]
+        assert len(got[q]) == len(want)
+        right += [got[q][i + 1] for i in range(len(want))] == want
+    assert right >= 18
 
 
 def test_top_k_of_few(spark):
@@ -68,7 +107,7 @@ def test_top_k_of_few(spark):
 def test_ann_recall(spark, clashing, equal):
     x = rows(5, 2000, dim=16, clusters=12, equal=equal)
     df = clashing(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)] + ODD + [(10_120, [0.0] * 16, 0)], VECTORS), "list", "piece", "code", "low", "v")
-    got = ann.neighbours(df, 20, list_rows=64, piece=100).collect()
+    got = ann.neighbours(df, 20, list_rows=64, piece=100, queries=30).collect()
     want, found = {}, {}
     s = x.astype(float) @ x.astype(float).T
     for q in range(0, 2000, 20):

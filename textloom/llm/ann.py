@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from . import cover_tree
 from ._store import stage
 from ._vectors import matrix, top, valid
 
@@ -19,8 +20,8 @@ from ._vectors import matrix, top, valid
 SAMPLE = 20_000
 #: Rows after these that scales, error and probes are measured on: one to so many of the sample. Rows of the sample to a list, at least.
 MEASURED, FITTED = 4, 39
-#: Rows of a list on average, lists at most, rows of a piece of a list on average.
-LIST, LISTS, PIECE = 512, 16_384, 2_048
+#: Rows of a list on average, lists at most, rows of a piece of a list and queries of a block on average.
+LIST, LISTS, PIECE, QUERIES = 512, 16_384, 2_048, 16_384
 #: Candidates of a piece are ranked again if they come within so many standard errors of its kth approximate score.
 ERRORS = 4.0
 #: Sampled rows of the visited lists bound a query's scores from below by their BELOW * kth best: what can't reach it is not passed on. Twice k, so that k are left even if codes hide some.
@@ -148,22 +149,26 @@ def _search(sent, k: int, errors: float):
     return run
 
 
-def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None, share: float = SHARE, list_rows: int = LIST, errors: float = ERRORS, piece: int = PIECE, sample: int = SAMPLE, seed: int = 0):
+def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None, share: float = SHARE, list_rows: int = LIST, errors: float = ERRORS, piece: int = PIECE, queries: int = QUERIES, sample: int = SAMPLE, seed: int = 0):
     """(query_id, rank, vec_id, score): for each vec_id divisible by every, k other vectors of high inner product, nearest first.
 
     Scores are inner products of the original vectors in double precision. probes: lists that a query visits; without
     it, as many as hold the given share of neighbours in the sample. Which vectors take part: see valid(); zero
-    vectors don't. Only vectors as long as most of the sample are indexed. Ties go to the smaller vec_id. A query goes
-    on to further lists until they hold k other rows. A list of many rows is searched in pieces, which are dealt evenly.
+    vectors don't. Vectors are compared with those of their own length: those as long as most of the sample are
+    indexed, others searched exactly. Ties go to the smaller vec_id; fewer rows than k others of that length are all
+    found. A query goes on to further lists until they hold k other rows. A list of many rows is searched in pieces,
+    and many queries of a piece in blocks, which are both dealt evenly.
     """
     spark = vectors.sparkSession
     rows = stage(valid(vectors, nonzero=True), "ann-vectors", spark)
     drawn = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample + sample // MEASURED).collect()
     dims = np.array([len(r.v) for r in drawn] or [1])
     dim = int(np.bincount(dims).argmax())
-    n = rows.where(F.size("v") == dim).count()
+    is_query = F.pmod("vec_id", F.lit(every)) == 0
+    n, asked, others = rows.agg(*[F.count(F.when(c, 1)) for c in (F.size("v") == dim, (F.size("v") == dim) & is_query, F.size("v") != dim)]).first()
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    query_blocks = max(1, ceil(asked / queries))
     drawn = [r for r in drawn if len(r.v) == dim]
     x = np.array([r.v for r in drawn], float)
     # where the rows drawn are all there are, figures of all of them are those of the table
@@ -192,6 +197,7 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
             at, codes = sent.value.encode(x) if batch.num_rows else (np.zeros(0, np.int64), np.zeros((0, 1), np.uint8))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary())], ["vec_id", "v", "list", "code"])
 
+    exact = cover_tree.top_k(rows.where(F.size("v") != dim).select("vec_id", F.col("v").alias("embedding")), k, every) if others else None
     rows = rows.where(F.size("v") == dim)
     indexed = stage(rows.mapInArrow(encoded, "vec_id bigint, v array<double>, list int, code binary"), "ann-index", spark)
     pieces, in_list = np.zeros((2, len(index.centers)), np.int64)
@@ -214,9 +220,11 @@ def neighbours(vectors, k: int = 20, every: int = 20, probes: int | None = None,
                 part = np.concatenate([np.arange(t) for t in times])
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(flat, times).astype(np.int32)), pa.array(part.astype(np.int32)), batch.column(0).take(pa.array(at)), batch.column(1).take(pa.array(at)), pa.array(low[at - i])], ["list", "piece", "vec_id", "v", "low"])
 
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).mapInArrow(visits, "list int, piece int, vec_id bigint, v array<double>, low double")
+    block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(query_blocks)).cast("int").alias("block")
+    visiting = rows.where(is_query).mapInArrow(visits, "list int, piece int, vec_id bigint, v array<double>, low double").select("*", block)
     counts = spark.createDataFrame([(i, int(p)) for i, p in enumerate(pieces) if p], "list int, pieces int")
     data = indexed.join(F.broadcast(counts), "list")  # broadcast: a row for each list
-    data = data.withColumn("piece", F.pmod(F.xxhash64("vec_id"), "pieces").cast("int")).select("list", "piece", "vec_id", "v", "code")
-    found = queries.groupBy("list", "piece").cogroup(data.groupBy("list", "piece")).applyInArrow(_search(sent, k, errors), "query_id bigint, vec_id bigint, score double")
-    return top(found, k)
+    data = data.withColumn("piece", F.pmod(F.xxhash64("vec_id"), "pieces").cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
+    data, key = data.select("list", "piece", "block", "vec_id", "v", "code"), ["list", "piece", "block"]
+    found = visiting.groupBy(*key).cogroup(data.groupBy(*key)).applyInArrow(_search(sent, k, errors), "query_id bigint, vec_id bigint, score double")
+    return top(found, k) if exact is None else top(found, k).unionByName(exact)
