@@ -18,7 +18,7 @@ from ._vectors import matrix, top, valid
 from ._words import mix
 
 #: Vectors of a piece and queries of a block on average; points of a leaf at most, unless they are equal.
-BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF = 8192, 4096, 256, 64
+BLOCK, QUERY_BLOCK, LEAF, QUERY_LEAF = 8192, 4096, 512, 128
 #: Vectors that the upper levels are made of and that bound scores, at most; of these in a ball, at least.
 SAMPLE, BALL = 8192, 16
 #: By which the scale falls from one level of a tree to the next, where so many children of a node at most can cover it at that scale.
@@ -38,8 +38,8 @@ class Node:
 def build(x: np.ndarray, leaf: int, points: np.ndarray | None = None, squares: np.ndarray | None = None) -> Node:
     """The cover tree of rows of x: a node's children are the balls around points that lie apart by the level's scale, at least, and cover the node's points within it.
 
-    A child's point is the farthest from those before, until they cover the node at 1 / BASE of its radius or are
-    CHILDREN. Every node that isn't a leaf has two children or more, and every leaf few points or equal ones.
+    A child's point is the farthest from those before, until they cover the node at 1 / BASE of its radius, are
+    CHILDREN, or twice as many as leaves could hold the points. Every node that isn't a leaf has two children or more, and every leaf few points or equal ones.
     """
     points = np.arange(len(x)) if points is None else points
     squares = (x * x).sum(1) if squares is None else squares
@@ -55,7 +55,8 @@ def build(x: np.ndarray, leaf: int, points: np.ndarray | None = None, squares: n
     if len(points) <= leaf or not np.ptp(own, axis=0).any():
         return Node(own[first], radius, points, [])
     child, near[first], count = np.zeros(len(points), np.int64), 0.0, 1
-    while count < 2 or (near.max() > radius / BASE and count < CHILDREN):
+    most = min(CHILDREN, ceil(2 * len(points) / leaf))
+    while count < 2 or (near.max() > radius / BASE and count < most):
         new = int(np.argmax(near))
         d = distances(new)
         d[new] = 0.0
@@ -106,21 +107,23 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, data_id
         stats["pairs"] = stats.get("pairs", 0) + len(asking) * len(d.points)
         new = queries[asking] @ data[d.points].T
         new[query_ids[asking][:, None] == data_ids[d.points]] = -np.inf
-        if len(d.points) > k:
-            kth = np.partition(new, len(d.points) - k, 1)[:, len(d.points) - k]
-            new[new < np.maximum(kth, least[asking])[:, None]] = -np.inf
-        else:
-            new[new < least[asking][:, None]] = -np.inf
-        some = np.flatnonzero((new > -np.inf).any(1))
-        if not len(some):
+        low = least[asking]
+        if len(d.points) > k and np.isneginf(low).any():
+            low = np.maximum(low, np.partition(new, len(d.points) - k, 1)[:, len(d.points) - k])
+        row, column = np.nonzero((new >= low[:, None]) & (new > -np.inf))
+        if not len(row):
             return
-        columns = np.flatnonzero((new[some] > -np.inf).any(0))
-        rows, found = asking[some], new[np.ix_(some, columns)]
-        both = np.concatenate([scores[rows], found], 1)
-        named = np.concatenate([ids[rows], np.where(found > -np.inf, data_ids[d.points[columns]], -1)], 1)
-        order = np.lexsort((named, -both))[:, :k]
-        scores[rows], ids[rows] = np.take_along_axis(both, order, 1), np.take_along_axis(named, order, 1)
-        least[rows] = np.maximum(least[rows], scores[rows, -1])
+        # those found, beside the k of their queries: the best k of each query
+        asked, own = np.unique(row, return_inverse=True)
+        some = asking[asked]
+        both = np.concatenate([scores[some].ravel(), new[row, column]])
+        named = np.concatenate([ids[some].ravel(), data_ids[d.points[column]]])
+        of = np.concatenate([np.repeat(np.arange(len(some)), k), own])
+        order = np.lexsort((named, -both, of))
+        size = k + np.bincount(own)
+        order = order[((np.cumsum(size) - size)[:, None] + np.arange(k)).ravel()]
+        scores[some], ids[some] = both[order].reshape(-1, k), named[order].reshape(-1, k)
+        least[some] = np.maximum(least[some], scores[some, -1])
 
     def dual(q: Node, pending: list) -> None:
         """pending: data nodes that the ancestors of q have not passed over."""
