@@ -10,6 +10,7 @@ one, which finds where a run begins and ends, to the word. Blocks and windows th
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ._store import narrow, partitions, stage
@@ -60,17 +61,25 @@ class Batch:
         return value[picked], mix(self.hash(start, stop) + (picked - start).astype(np.uint64)), start, stop
 
 
-def _rows(batch, texts: np.ndarray, begins: np.ndarray, start: np.ndarray, stop: np.ndarray, **columns):
-    """A batch of places: given columns, doc_id, h, and start and stop within the text."""
-    at = pa.array(texts)
-    own = {k: pa.array(v.view(np.int64)) for k, v in columns.items()}
-    return pa.RecordBatch.from_arrays([*own.values(), batch.column(0).take(at), batch.column(1).take(at), pa.array((start - begins[texts]).astype(np.int32)), pa.array((stop - begins[texts]).astype(np.int32))], [*own, "doc_id", "h", "start", "stop"])
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(values))
+
+
+_PLACES = "doc_id bigint, h bigint, prints array<bigint>, keys array<bigint>, starts array<int>, sizes array<int>"
+
 
+def _places(window: int, gram: int):
+    """All blocks of each text."""
 
-def _prints(window: int, gram: int):
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(Batch(batch.column(2).to_pylist(), window, gram).blocks()[0].view(np.int64))], ["print"])
+            if not batch.num_rows:
+                continue
+            b = Batch(batch.column(2).to_pylist(), window, gram)
+            prints, key, start, stop = b.blocks()
+            ends = np.searchsorted(start, b.ends)
+            columns = (prints.view(np.int64), key.view(np.int64), (start - b.begins[b.text[start]]).astype(np.int32), (stop - start).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(_lists(c, ends) for c in columns)], [x.split()[0] for x in _PLACES.split(", ")])
 
     return run
 
@@ -106,18 +115,21 @@ def _known(map_: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return (map_[segment, bits >> 3] >> (7 - (bits & 7)).astype(np.uint8) & 1).all(0)
 
 
-def _blocks(sent, window: int, gram: int):
-    """Blocks whose fingerprint the bit map has."""
+def _rows(batch, texts: np.ndarray, start: np.ndarray, stop: np.ndarray, **columns):
+    """A batch of places: given columns, doc_id, h, and start and stop within the text."""
+    at = pa.array(texts)
+    return pa.RecordBatch.from_arrays([*(pa.array(v) for v in columns.values()), batch.column(0).take(at), batch.column(1).take(at), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32))], [*columns, "doc_id", "h", "start", "stop"])
+
+
+def _repeated(sent):
+    """Blocks, a row each, whose fingerprint the bit map has."""
 
     def run(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            b = Batch(batch.column(2).to_pylist(), window, gram)
-            prints, key, start, stop = b.blocks()
-            keep = _known(sent.value, prints)
-            prints, key, start, stop = prints[keep], key[keep], start[keep], stop[keep]
-            yield _rows(batch, b.text[start], b.begins, start, stop, key=key, print=prints)
+            text = np.repeat(np.arange(batch.num_rows), pc.list_value_length(batch.column(2)).to_numpy())
+            prints, keys, starts, sizes = (batch.column(i).flatten().to_numpy() for i in range(2, 6))
+            keep = _known(sent.value, prints.view(np.uint64))
+            yield _rows(batch, text[keep], starts[keep], starts[keep] + sizes[keep], key=keys[keep], print=prints[keep])
 
     return run
 
@@ -156,7 +168,9 @@ def _windows(shared, places, window: int, gram: int):
             count = stop[keep] - window - start[keep] + 1
             ends = np.cumsum(count)
             each = np.repeat(start[keep] - (ends - count), count) + np.arange(count.sum())
-            yield _rows(batch, b.text[each], b.begins, each, each + window, key=b.hash(each, each + window))
+            text = b.text[each]
+            own = each - b.begins[text]
+            yield _rows(batch, text, own, own + window, key=b.hash(each, each + window).view(np.int64))
 
     return run
 
@@ -194,8 +208,9 @@ def repeated_runs(docs, window: int = WINDOW, gram: int = GRAM):
     def bit_map(column):
         return spark.sparkContext.broadcast(_filter(column))
 
-    often = texts.mapInArrow(_prints(window, gram), "print bigint").groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
-    blocks = stage(texts.mapInArrow(_blocks(bit_map(often), window, gram), "key bigint, print bigint, doc_id bigint, h bigint, start int, stop int"), "line-blocks", spark)
+    places = stage(texts.mapInArrow(_places(window, gram), _PLACES), "line-places", spark)
+    often = places.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
+    blocks = stage(places.mapInArrow(_repeated(bit_map(often)), "key bigint, print bigint, doc_id bigint, h bigint, start int, stop int"), "line-blocks", spark)
     first = stage(_firsts(blocks, F.first("print").alias("print")), "line-first-blocks", spark)
     # a fingerprint of several contents: there windows are compared, of the first block of each
     shared = bit_map(first.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"))
