@@ -100,3 +100,19 @@ def test_mixed_rows(make_docs):
         got[r.doc_id] += 1
     assert dict(got) == {d: c for d, c in copies.items() if c}
     assert mixing.mix_by_source(make_docs([])).collect() == [] and mixing.mixed(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("same_text", [False, True])
+def test_many_rows_of_one_id(make_docs, monkeypatch, same_text):
+    """Of rows that share a doc_id, null here, some are taken and some are not, and the source's words come near its target."""
+    monkeypatch.setattr(mixing, "LEAST_HOT", 50)
+    docs = make_docs([(None, "same old words" if same_text else f"text {d} is here", "a") for d in range(400)] + [(d, "one two three four", "ab"[d % 2]) for d in range(800)])
+    out = mixing.mix_by_source(docs).collect()
+    assert len(out) == 1200
+    taken, target = defaultdict(int), {}
+    for r in out:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 4 for s in target)
+    assert len({r.copies for r in out if r.doc_id is None}) == 2
+    assert sorted((r.source, r.copies) for r in out) == sorted((r.source, r.copies) for r in mixing.mix_by_source(docs).collect())

@@ -20,10 +20,8 @@ from ._store import narrow, partitions, stage
 BLOCK_CHARS, BLOCK_WORDS = 32_000_000, 600_000
 #: Characters of one packed row of positions, at most (one document more).
 PACK_CHARS = 1_000_000
-#: Hash buckets in which distinct words meet. Few, for words sorted in a bucket of a block then pack well; more for a larger corpus.
-BUCKETS = 512
-#: Words whose ids a bucket remembers; beyond it the memory starts anew, which costs time only.
-REMEMBERED = 500_000
+#: Hash buckets in which distinct words meet, at least: few, for words sorted in a bucket of a block then pack well. Bytes of a corpus to a bucket beyond that.
+BUCKETS, BUCKET_BYTES = 512, 128 << 20
 #: Effort of compression, for numbers and for words.
 EFFORT, WORD_EFFORT = 9, 12
 #: Levels of frequency in a block.
@@ -129,25 +127,26 @@ def _blocks(pattern: str, buckets: int, block_chars: int, block_words: int, pack
     return run
 
 
-def _encoder(ranks, pattern: str, remembered: int):
-    """Rows of words of one task's buckets: the ids of each word, each distinct word encoded once."""
+def _encoder(ranks):
+    """Rows of words of one task's buckets, which come bucket by bucket: the ids of each word, each distinct word encoded once."""
 
     def run(batches):
         import tiktoken
         import zstandard
 
-        piece = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={})._core_bpe.encode_single_piece
-        unzip, known = zstandard.ZstdDecompressor(), {}
+        # a word is one match, whatever the pattern that it was split by
+        encode = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks.value, special_tokens={}).encode_ordinary
+        unzip, known, last = zstandard.ZstdDecompressor(), {}, None
         for batch in batches:
             out = []
             for block, bucket, lens, body in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if bucket != last:
+                    known, last = {}, bucket
                 ids, sizes = [], []
                 for w in unzip.decompress(body[0]).split(SEPARATOR):
                     got = known.get(w)
                     if got is None:
-                        if len(known) >= remembered:
-                            known.clear()
-                        got = known[w] = piece(w)
+                        got = known[w] = encode(w.decode())
                     ids += got
                     sizes.append(len(got))
                 out.append({"block": block, "bucket": bucket, "lens": lens, "sizes": _pack(np.array(sizes, np.uint32)), "ids": _pack(np.array(ids, np.uint32))})
@@ -157,6 +156,12 @@ def _encoder(ranks, pattern: str, remembered: int):
     return run
 
 
+def _buckets(docs) -> int:
+    """As many as the corpus wants, by the size that its plan states; a plan that knows no size states exabytes."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(BUCKETS, size // BUCKET_BYTES) if size < 1 << 60 else BUCKETS
+
+
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Indexes of runs of the given starts and sizes, one after the other."""
     ends = np.cumsum(sizes)
@@ -181,19 +186,21 @@ def _reassemble(documents: pa.Table, words: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.chunked_array(keys, pa.int64()), "ids": pa.chunked_array(out, pa.list_(pa.int32()))})
 
 
-def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int = BUCKETS, block_chars: int = BLOCK_CHARS, block_words: int = BLOCK_WORDS, pack_chars: int = PACK_CHARS, finish=None, schema: str = "doc_id bigint, ids array<int>"):
+def encode(docs, ranks: dict[bytes, int], pattern: str, buckets: int | None = None, block_chars: int = BLOCK_CHARS, block_words: int = BLOCK_WORDS, pack_chars: int = PACK_CHARS, finish=None, schema: str = "doc_id bigint, ids array<int>"):
     """(doc_id, ids array<int>): each match of pattern in a whole text, encoded by ranks; no special tokens.
 
     A null or empty text gives no ids. Rows with a null or repeated doc_id give a row each. Other columns don't matter.
-    ranks goes to the executors once: it has the vocabulary's size. finish, if given, turns each block's table of these
+    buckets: in which distinct words meet; without it, as many as the corpus wants. A task holds a block's documents and
+    words, or the distinct words of a bucket. ranks goes to the executors once: it has the vocabulary's size. finish, if given, turns each block's table of these
     columns into one of the given schema, in the process that made it.
     """
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(ranks)
-    rows = narrow(docs, doc_id="bigint", text="string").mapInArrow(_blocks(pattern, buckets, block_chars, block_words, pack_chars), _BLOCKS)
+    rows = narrow(docs, doc_id="bigint", text="string")
+    rows = rows.mapInArrow(_blocks(pattern, buckets or _buckets(rows), block_chars, block_words, pack_chars), _BLOCKS)
     rows = stage(rows, "bpe-blocks", spark)
-    words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "lens", "body").repartition(partitions(spark), "bucket")
-    words = words.mapInArrow(_encoder(sent, pattern, REMEMBERED), "block bigint, bucket int, lens array<int>, sizes binary, ids binary")
+    words = rows.where(F.col("bucket").isNotNull()).select("block", "bucket", "lens", "body").repartition(partitions(spark), "bucket").sortWithinPartitions("bucket")
+    words = words.mapInArrow(_encoder(sent), "block bigint, bucket int, lens array<int>, sizes binary, ids binary")
     documents = rows.where(F.col("bucket").isNull()).select("block", "keys", "lens", "top", "body")
     return documents.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(lambda d, w: finish(_reassemble(d, w)) if finish else _reassemble(d, w), schema)
 

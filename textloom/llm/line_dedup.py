@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from ._store import narrow, partitions, stage
+from ._store import drop, narrow, partitions, stage
 from ._words import Prefix, lowered, mix, words
 
 #: Words of a run that is removed, at least, and of a gram.
@@ -188,8 +188,12 @@ def _later(places, firsts):
     most = max(LEAST_HOT, int(places.count() * HOT))
     hot = firsts.where(F.col("n") > most).select("key", "of")
     rest = firsts.where((F.col("n") > 1) & (F.col("n") <= most)).select("key", "of")
-    # broadcast: more than a share HOT of the places each, so 1 / HOT keys at most. merge: else a small side would be broadcast, and a larger input would be another plan
-    both = places.join(F.broadcast(hot), "key").unionByName(places.join(F.broadcast(hot.select("key")), "key", "left_anti").join(rest.hint("merge"), "key"))
+    # merge: else a small side would be broadcast, and a larger input would be another plan
+    both = places.join(rest.hint("merge"), "key")
+    if not hot.isEmpty():
+        # broadcast: more than a share HOT of the places each, so 1 / HOT keys at most
+        cold = places.join(F.broadcast(hot.select("key")), "key", "left_anti")
+        both = cold.join(rest.hint("merge"), "key").unionByName(places.join(F.broadcast(hot), "key"))
     same = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h"))
     own = F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start"))
     return both.where(~(same & (F.col("start") == F.col("of.start")))).select("doc_id", "h", own.alias("start"), "stop").where("start < stop")
@@ -211,6 +215,7 @@ def repeated_runs(docs, window: int = WINDOW, gram: int = GRAM):
     places = stage(texts.mapInArrow(_places(window, gram), _PLACES), "line-places", spark)
     often = places.select(F.explode("prints").alias("print")).groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print")
     blocks = stage(places.mapInArrow(_repeated(bit_map(often)), "key bigint, print bigint, doc_id bigint, h bigint, start int, stop int"), "line-blocks", spark)
+    drop(places)
     first = stage(_firsts(blocks, F.first("print").alias("print")), "line-first-blocks", spark)
     # a fingerprint of several contents: there windows are compared, of the first block of each
     shared = bit_map(first.groupBy("print").agg(F.count("*").alias("n")).where("n > 1").select("print"))

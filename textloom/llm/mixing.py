@@ -15,6 +15,8 @@ from ._store import narrow, stage
 WORDS = r"[^\x20\x09-\x0D]+"
 #: Parts of the seeded order in a level of its histogram; two levels are summed before rows are ordered.
 PARTS = 1024
+#: Rows of one doc_id are set apart if they are more than this share of all, and so many.
+HOT, LEAST_HOT = 1 / 4096, 1000
 
 
 def water_level(sizes: dict, weights: dict, total: float, most: float = 2.0) -> dict:
@@ -84,18 +86,38 @@ def flow(supply: dict, members: dict, quota: dict, copies: int = 2) -> dict:
 
 
 def sized(docs):
-    """(doc_id, source, size): size counts words of the whole text, 0 for a null one."""
-    return narrow(docs, doc_id="bigint", source="string", text="string").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint").alias("size"))
+    """(doc_id, source, size, h): size counts words of the whole text, 0 for a null one; h is a hash of it."""
+    return narrow(docs, doc_id="bigint", source="string", text="string").select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).cast("bigint").alias("size"), F.xxhash64("text").alias("h"))
+
+
+def apart(rows):
+    """rows, a stored table, with a text __own that sets apart rows of a doc_id, null too, that many share: the hash h of the text, and a number if many share that as well. It is null for all others, whose order then depends on the doc_id alone.
+
+    Many are more than a share HOT of all rows.
+    """
+    most = max(LEAST_HOT, int(rows.count() * HOT))
+
+    def often(*by):
+        same = [F.col(c).alias(f"__{c}") for c in by]
+        return rows.groupBy(*by).agg(F.count("*").alias("n")).where(F.col("n") > most).select(*same, F.lit(True).alias("__often_" + by[-1]))
+
+    # broadcast: 1 / HOT keys at most, twice
+    found = rows.join(F.broadcast(often("doc_id")), F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left").drop("__doc_id")
+    found = found.join(F.broadcast(often("doc_id", "h")), F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("h") == F.col("__h")), "left").drop("__doc_id", "__h")
+    own = F.concat_ws(":", F.col("h").cast("string"), F.when(F.col("__often_h"), F.monotonically_increasing_id()).cast("string"))
+    return found.withColumn("__own", F.when(F.col("__often_doc_id"), own)).drop("__often_doc_id", "__often_h")
 
 
 def choose(rows, plan, seed: int):
     """rows with copies: how often the mix takes each. rows: (doc_id, pattern, size, ...); plan: {pattern: words}.
 
-    The seeded order is by a hash of doc_id. Only the part of a part of it in which a pattern's rest ends is sorted.
+    The seeded order is by a hash of doc_id, and of __own where rows have it
+    (see apart()). Only the part of a part of it in which a pattern's rest ends is sorted.
     """
     spark = rows.sparkSession
     table = spark.createDataFrame([(p, int(whole), float(rest)) for p, (whole, rest) in plan.items()], "pattern string, whole int, rest double")
-    rank = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"))), 1, 15), 16, 10).cast("bigint")
+    own = ["__own"] if "__own" in rows.columns else []
+    rank = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string"), *own)), 1, 15), 16, 10).cast("bigint")
     rows = rows.join(F.broadcast(table), "pattern").withColumn("__rank", rank)  # broadcast: a row for each pattern, of which the driver already holds the sums
     width = (1 << 60) // PARTS
     rows = rows.withColumn("__a", F.floor(F.col("__rank") / width).cast("int")).withColumn("__b", F.floor((F.col("__rank") % width) / (width // PARTS)).cast("int"))
@@ -146,14 +168,14 @@ def mix_by_source(docs, cycle=(3, 1, 2), share: float = 1.5, most: int = 2, seed
     """(doc_id, source, size, source_size, target, copies, taken) of every row: sources weigh cycle in turn and share so many times all words.
 
     Taken words differ from a source's target by half a document at most. Null texts have no words; null and empty
-    sources are sources like others; rows of a repeated doc_id stay apart.
+    sources are sources like others; rows of a repeated or null doc_id are rows of their own.
     """
-    rows = stage(sized(docs), "mix-sizes")
+    rows = apart(stage(sized(docs), "mix-sizes"))
     sizes = {r.source: r.words for r in rows.groupBy("source").agg(F.sum("size").alias("words")).collect()}
     targets = water_level(sizes, cyclic_weights(sizes, cycle), share * sum(sizes.values()), most)
     out = mix(rows.withColumn("sources", F.array("source")), targets, most, seed)
     table = docs.sparkSession.createDataFrame([(s, int(sizes[s]), float(targets[s])) for s in sizes], "s string, source_size bigint, target double")
-    out = out.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("s")))  # broadcast: a row for each source
+    out = out.drop("h", "__own").join(F.broadcast(table), F.col("source").eqNullSafe(F.col("s")))  # broadcast: a row for each source
     return out.select("doc_id", "source", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"), (F.col("size") * F.col("copies")).cast("bigint").alias("taken"))
 
 
