@@ -133,6 +133,33 @@ def test_quality_on_held_out_rows(spark, make_docs, clashing, quality_corpus):
     assert np.mean([r.predicted == y[r.doc_id] for r in got if r.held_out and r.doc_id in y]) > 0.97
 
 
+def test_quality_against_plain_code(spark, make_docs, quality_corpus):
+    """The normal equations, both folds' weights and the calibration once more, over all rows at once."""
+    rows, labels = quality_corpus
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    measured = quality.measure(make_docs(rows)).persist()
+    model = quality.fit(measured, table)
+    x = {d: np.array(quality.statistics(t)) for d, t in rows}
+    every = np.array(list(x.values()))
+    assert np.allclose(model.mean, every.mean(0)) and np.allclose(model.scale, np.where(every.std(0) > 1e-9, every.std(0), 1))
+    fold = {r.doc_id: r.f for r in spark.range(600).selectExpr("id doc_id", "pmod(xxhash64(id), 2) f").collect()}
+    some = [(d, q) for d, q, _ in labels if zlib.crc32(str(d).encode()) % 3 != 1]
+    p, y, f = model.features(np.array([x[d] for d, _ in some])), np.array([q for _, q in some], float), np.array([fold[d] for d, _ in some])
+
+    def ridge(of):
+        penalty = quality.PENALTY * of.sum() * np.eye(p.shape[1])
+        penalty[0, 0] = 1e-9 * of.sum()
+        return np.linalg.solve(p[of].T @ p[of] + penalty, p[of].T @ y[of])
+
+    assert np.allclose(p @ model.weights, p @ ridge(f >= 0), atol=1e-6)
+    raw = np.where(f == 0, p @ ridge(f == 1), p @ ridge(f == 0))
+    bins = np.round(raw / quality.STEP) * quality.STEP
+    knots, values = _labels.isotonic(bins, y)
+    want = {d: np.clip(np.interp(model.features(v[None]) @ ridge(f >= 0), knots, values), 0, 1)[0] for d, v in x.items()}
+    got = {r.doc_id: r.score for r in quality.score(measured, model).collect()}
+    assert np.mean([abs(got[d] - want[d]) < 1e-3 for d in x]) > 0.98  # a row on a bin's edge may fall to either side
+
+
 def test_quality_keep(spark, make_docs, quality_corpus):
     rows, labels = quality_corpus
     docs, table = make_docs(rows), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")

@@ -45,6 +45,25 @@ def test_small_payloads_and_empty_table(spark):
     assert warc.archive_and_index(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_hot_payloads_and_long_pages(spark, monkeypatch, tmp_path):
+    """A third of all pages are empty, and some are longer than the payloads that share archives."""
+    monkeypatch.setattr(warc, "LEAST_HOT", 20)
+    rows = [(i, f"http://h/{i}", "" if i % 3 == 0 else f"<p>{i // 2}</p>" if i % 3 == 1 else "é" * (40 * (i % 50))) for i in range(300)] + [(1000, "http://h/long", "x" * 3_000_000)]
+    path = str(tmp_path / "w")
+    pages = spark.createDataFrame(rows, PAGES)
+    warc.write_archives(pages, path, archives=((100, 50), (2000, 4)))
+    got = {r.page_id: r for r in warc.merge_index(warc.stage(warc.read_archives(spark, path), "runs", spark)).collect()}
+    assert len(got) == 301
+    first = {}
+    for i, _, h in rows:
+        first.setdefault(h, i)
+        assert (got[i].record_type, got[i].refers_to, got[i].payload_bytes) == (("response", None) if first[h] == i else ("revisit", first[h])) + (len(h.encode()),)
+    of_run = {}
+    for r in got.values():
+        of_run.setdefault(r.run, []).append(r.payload_bytes)
+    assert all(len(x) <= (50 if max(x) <= 100 else 4 if max(x) <= 2000 else 1) for x in of_run.values())
+
+
 def test_merge_over_ranges(spark):
     rng = random.Random(1)
     pages = spark.createDataFrame([(i, f"http://h{rng.randint(0, 3)}.example.com/{rng.choice('ab')}", str(i)) for i in range(500)], PAGES).repartition(5)

@@ -2,7 +2,8 @@
 
 Statistics of whole texts are standardised over all documents and mapped to cosines of random directions, whose inner
 products approximate a Gaussian kernel. Each partition sums its part of the normal equations; their sum, of a size
-that doesn't depend on the rows, gives ridge weights, and isotonic regression turns scores into probabilities.
+that doesn't depend on the rows, gives ridge weights, and isotonic regression turns scores into probabilities. It is
+fitted to scores by weights that haven't seen the row.
 """
 
 from dataclasses import dataclass
@@ -18,6 +19,8 @@ from ._store import narrow, stage
 FEATURES, PENALTY, BANDWIDTH = 256, 1e-4, 0.6
 #: Standardised statistics lie within these bounds; scores are calibrated on a grid of this step.
 BOUND, STEP = 6.0, 1 / 512
+#: Folds of the labelled rows, by doc_id, for calibration.
+FOLDS = 2
 #: Partial sums that reach the driver, at most.
 SUMS = 8
 
@@ -85,42 +88,53 @@ def measure(docs):
 def fit(measured, labels, seed: int = 0) -> Model:
     """Learns from all labelled rows that are not held out. measured: of measure(), best a stored table, as it is read three times.
 
-    Without labelled rows every score is 0.5.
+    Each row is calibrated by the score that it gets from the other fold's weights. Rows of a null doc_id aren't learnt
+    from; all rows of a repeated one are. Without labelled rows every score is 0.5.
     """
     d, spark = len(STATISTICS), measured.sparkSession
     moments = measured.select(*[f(F.col("x")[i]).alias(f"{f.__name__}{i}") for i in range(d) for f in (F.avg, F.stddev_pop)]).first()
     scale = np.array([moments[2 * i + 1] or 0.0 for i in range(d)])
     rng = np.random.default_rng(seed)
     model = Model(np.array([moments[2 * i] or 0.0 for i in range(d)]), np.where(scale > 1e-9, scale, 1.0), rng.normal(size=(d, FEATURES)) / (BANDWIDTH * np.sqrt(d)), rng.uniform(0, 2 * np.pi, FEATURES), np.zeros(FEATURES + 1), np.zeros(1), np.full(1, 0.5))
-    rows = measured.join(training_labels(labels, "quality"), "doc_id").select("x", "y")
+    rows = measured.join(training_labels(labels, "quality"), "doc_id").select("x", "y", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).cast("int").alias("fold"))
     size = FEATURES + 1
+    shape = FOLDS, size * size + size + 1
     schema = "sums array<double>"
 
+    def sums(total):
+        if total[:, -1].any():
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["sums"])
+
     def summed(batches):
-        total = np.zeros(size * size + size + 1)
+        total = np.zeros(shape)
         for batch in batches:
             if batch.num_rows:
-                p, y = model.features(_matrix(batch.column(0))), batch.column(1).to_numpy(zero_copy_only=False)
-                total += np.concatenate([(p.T @ p).ravel(), p.T @ y, [len(y)]])
-        if total[-1]:
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
+                every, label, fold = model.features(_matrix(batch.column(0))), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy()
+                for f in range(FOLDS):
+                    p, y = every[fold == f], label[fold == f]
+                    total[f] += np.concatenate([(p.T @ p).ravel(), p.T @ y, [len(y)]])
+        yield from sums(total)
 
     def added(batches):
-        total = sum((b.column(0).flatten().to_numpy().reshape(b.num_rows, -1).sum(0) for b in batches if b.num_rows), np.zeros(size * size + size + 1))
-        if total[-1]:
-            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["sums"])
+        yield from sums(sum((b.column(0).flatten().to_numpy().reshape(b.num_rows, -1).sum(0) for b in batches if b.num_rows), np.zeros(shape[0] * shape[1])).reshape(shape))
+
+    def solved(total):
+        ridge = PENALTY * total[-1] * np.eye(size)
+        ridge[0, 0] = 1e-9 * total[-1]
+        return np.linalg.solve(total[: size * size].reshape(size, size) + ridge, total[size * size : -1])
 
     parts = rows.mapInArrow(summed, schema).repartition(SUMS).mapInArrow(added, schema).collect()
-    total = np.sum([r.sums for r in parts], axis=0) if parts else np.zeros(size * size + size + 1)
-    if not total[-1]:
+    total = np.sum([r.sums for r in parts], axis=0).reshape(shape) if parts else np.zeros(shape)
+    if not total[:, -1].any():
         return model
-    ridge = PENALTY * total[-1] * np.eye(size)
-    ridge[0, 0] = 1e-9 * total[-1]
-    model.weights = np.linalg.solve(total[: size * size].reshape(size, size) + ridge, total[size * size : -1])
+    model.weights = solved(total.sum(0))
+    # of a fold that the others leave nothing to learn from, its own
+    others = [total.sum(0) - total[f] if total[:, -1].sum() > total[f, -1] else total[f] for f in range(FOLDS)]
+    weights = np.array([solved(t) for t in others])
 
     def raw(batches):
         for batch in batches:
-            s = model.raw(_matrix(batch.column(0))) if batch.num_rows else np.zeros(0)
+            s = (model.features(_matrix(batch.column(0))) * weights[batch.column(2).to_numpy()]).sum(1) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([pa.array(np.clip(np.round(s / STEP), -4 / STEP, 4 / STEP).astype(np.int32)), batch.column(1).cast(pa.int32())], ["bin", "y"])
 
     bins = rows.mapInArrow(raw, "bin int, y int").groupBy("bin").agg(F.avg("y").alias("y"), F.count("*").alias("n")).collect()  # the grid's size at most

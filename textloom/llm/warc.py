@@ -1,8 +1,9 @@
 """WARC archives of captured pages, and their index by external merge.
 
-Records are put together in SQL and written by Spark's text writer: an archive is a gzip file of records. Each archive
-read back gives a run of captures sorted by URL key and time; runs are merged by a loser tree within ranges of keys, so
-that all ranges in order are the globally ordered histories.
+Records are put together in SQL and written by Spark's text writer: an archive is a gzip file of records, of few if
+they are long. Each archive read back gives a run of captures sorted by URL key and time; runs are merged by a loser
+tree within ranges of keys, so that all ranges in order are the globally ordered histories. A range's runs stay Arrow
+batches, of which only the heads are Python rows.
 """
 
 import io
@@ -13,8 +14,12 @@ from pyspark.sql import functions as F
 
 from ._store import narrow, new_path, partitions, stage
 
-#: Records of an archive, and captures of a merged range, at most on average.
-ARCHIVE_RECORDS, RANGE_CAPTURES = 4_000, 200_000
+#: Payloads of up to so many bytes share an archive with so many records; longer ones have it to themselves.
+ARCHIVES = ((64 << 10, 4_000), (4 << 20, 64))
+#: Captures of a merged range, on average, and of a run's head, at most.
+RANGE_CAPTURES, HEAD = 200_000, 32
+#: A payload's digest is joined by broadcast if more than this share of the repeated ones, and so many, have it: there are 1 / HOT of them at most.
+HOT, LEAST_HOT = 1 / 4096, 1000
 #: Captures without a time are a second apart from this epoch second on, by page_id.
 FIRST_SECOND = 1_704_067_200
 ID = "<urn:textloom:page:"
@@ -40,14 +45,23 @@ def captures(pages):
 
 
 def records(pages, least: int = 0):
-    """(record) of every row: a response, or a revisit of the response with the same payload and the smallest page_id.
+    """(record, bytes) of every row: a response, or a revisit of the response with the same payload and the smallest page_id; bytes are the payload's.
 
     Payloads of fewer than least bytes are responses always. Rows repeated with a response's page_id and payload are
     responses too. A null page_id comes after all others; where all of a payload's are null, all are responses.
     """
     spark, rows = pages.sparkSession, captures(pages)
-    first = stage(rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first"), "warc-first", spark)
-    rows = rows.join(first, (rows["digest"] == first["digest"]) & (rows["bytes"] >= least), "left").drop(first["digest"])
+    first = stage(rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").withColumnRenamed("digest", "of_digest"), "warc-first", spark)
+    most = max(LEAST_HOT, int((first.agg(F.sum("n")).first()[0] or 0) * HOT))
+
+    same = (F.col("digest") == F.col("of_digest")) & (F.col("bytes") >= least)
+    hot = first.where(F.col("n") > most)
+    if hot.isEmpty():
+        rows = rows.join(first, same, "left")
+    else:
+        # broadcast: 1 / HOT digests at most; so no digest that a third of all pages share, as empty ones do, is a key of a shuffle
+        rest = rows.join(F.broadcast(hot.select("of_digest")), same, "left_anti").join(first.where(F.col("n") <= most), same, "left")
+        rows = rows.join(F.broadcast(hot), same).unionByName(rest)
     name = lambda page: F.concat(F.lit(ID), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), F.col("digest"), F.lit(">"))
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
@@ -59,14 +73,21 @@ def records(pages, least: int = 0):
         F.when(revisit, F.concat(F.lit("\r\nWARC-Refers-To: "), name(F.col("first")), F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"),
     )
-    return rows.select(F.concat(head, block, F.lit("\r\n\r\n")).alias("record"))
+    return rows.select(F.concat(head, block, F.lit("\r\n\r\n")).alias("record"), "bytes")
 
 
-def write_archives(pages, path: str, least: int = 0, archive_records: int = ARCHIVE_RECORDS) -> None:
-    """Archives of records(pages, least) in a new folder."""
+def write_archives(pages, path: str, least: int = 0, archives=ARCHIVES) -> None:
+    """Archives of records(pages, least) in a new folder. archives: rising sizes of payloads, and records of an archive up to each."""
+    size = F.coalesce(F.octet_length("html"), F.lit(0))
+    kind = lambda x: sum(((x > most).cast("int") for most, _ in archives), F.lit(0))
+    present = {r.kind for r in narrow(pages, html="string").groupBy(kind(size).alias("kind")).count().collect()} or {0}
+    rows = records(pages, least)
     # the writer ends each line with the last character of its record
-    lines = records(pages, least).select(F.substring("record", F.lit(1), F.length("record") - 1).alias("value"))
-    lines.write.option("compression", "gzip").option("maxRecordsPerFile", archive_records).text(path)
+    line = F.substring("record", F.lit(1), F.length("record") - 1).alias("value")
+    # a write for each size of payloads, one for most tables
+    for k in sorted(present):
+        of_kind = rows.where(kind(F.col("bytes")) == k) if len(present) > 1 else rows
+        of_kind.select(line).write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", [*(n for _, n in archives), 1][k]).text(path)
 
 
 def parse(stream):
@@ -174,20 +195,31 @@ class LoserTree:
             self.winner = w
 
 
+def _heads(parts):
+    """Rows of a run, one by one, with what they are sorted by in front."""
+    for batch in parts:
+        for k in range(0, batch.num_rows, HEAD):
+            for row in zip(*(c.to_pylist() for c in batch.slice(k, HEAD).columns)):
+                yield row[0], row[1], row[2], row
+
+
 def _merged(batches):
     from pyspark import TaskContext
 
     # rows come run by run, each run sorted; a range holds RANGE_CAPTURES on average
     runs, last = [], object()
     for batch in batches:
-        for row in zip(*(batch.column(k).to_pylist() for k in range(len(_NAMES)))):
-            if row[8] != last:
+        names = batch.column(8).to_pylist()
+        begins = [i for i, name in enumerate(names) if name != (names[i - 1] if i else last)]
+        cuts = sorted({0, *begins, len(names)}) if names else []
+        for a, b in zip(cuts, cuts[1:]):
+            if a in begins:
                 runs.append([])
-                last = row[8]
-            runs[-1].append((row[0], row[1], row[2], row))
+            runs[-1].append(batch.slice(a, b - a))
+        last = names[-1] if names else last
     order = TaskContext.get().partitionId() << 40
     out = []
-    for _, _, _, row in LoserTree(runs):
+    for *_, row in LoserTree([_heads(r) for r in runs]):
         out.append((*row, order))
         order += 1
         if len(out) == 5000:
