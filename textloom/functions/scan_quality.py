@@ -14,24 +14,30 @@ COUNTS = ("char_count", "sample_char_count", "printable", "alpha", "weird", "tok
 RATIOS = ("printable_ratio", "alpha_ratio", "weird_char_ratio", "long_token_ratio", "common_word_ratio", "hyphen_break_rate", "short_line_ratio")
 
 
-def counts(text) -> dict:
-    """Integers that all ratios are made of."""
+def prepared(text) -> dict:
+    """Columns that counts() reads several times."""
     s = F.substring(text, 1, SAMPLE)
-    of = lambda pattern, x=s: F.regexp_count(x, F.lit(pattern)).cast("bigint")
-    lower = F.lower(s)
+    return {"__sample": s, "__words": F.regexp_extract_all(F.lower(s), F.lit("[a-z]{2,}"), F.lit(0))}
+
+
+def counts(text, s, words) -> dict:
+    """Integers that all ratios are made of. s, words: columns of prepared()."""
+    of = lambda pattern: F.regexp_count(s, F.lit(pattern)).cast("bigint")
+    # a match for each run of them instead of each character
+    within = lambda chars: F.length(s) - F.length(F.regexp_replace(s, f"{chars}+", ""))
     lines = F.split(s, r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]")
     short = F.filter(lines, lambda x: F.length(F.regexp_replace(x, rf"\A{SPACE}+|{SPACE}+\z", "")).between(1, 3))
     return {
         "char_count": F.length(text).cast("bigint"),
         "sample_char_count": F.length(s).cast("bigint"),
-        "printable": of(r"[ \n\t\r]|[^\p{C}\p{Z}]"),
-        "alpha": of(r"\p{L}"),
+        "printable": (F.length(s) - within(r"[[\p{C}\p{Z}]&&[^ \n\t\r]]")).cast("bigint"),
+        "alpha": within(r"\p{L}").cast("bigint"),
         "weird": of(rf"[^\p{{L}}\p{{N}}{SPACES}{PUNCTUATION}]"),
-        "tokens": of("[a-z]{2,}", lower),
-        "long_tokens": of("[a-z]{25,}", lower),
-        "common_hits": F.size(F.filter(F.regexp_extract_all(lower, F.lit("[a-z]{2,}"), 0), lambda t: t.isin(COMMON))).cast("bigint"),
+        "tokens": F.size(words).cast("bigint"),
+        "long_tokens": F.size(F.filter(words, lambda t: F.length(t) >= 25)).cast("bigint"),
+        "common_hits": F.size(F.filter(words, lambda t: t.isin(COMMON))).cast("bigint"),
         "hyphen_breaks": of(r"[A-Za-z]-\n[A-Za-z]"),
-        "line_count": of("\n") + 1,
+        "line_count": (F.length(s) - F.length(F.replace(s, F.lit("\n"), F.lit(""))) + 1).cast("bigint"),
         "short_lines": F.size(short).cast("bigint"),
     }
 
@@ -76,7 +82,9 @@ def class_of(value):
 
 def scored(df, text: str = "text"):
     """df with COUNTS, RATIOS to four digits, ocr_quality_score and ocr_quality_class. A null text counts as empty."""
-    df = df.withColumns(counts(F.coalesce(F.col(text), F.lit(""))))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    df = df.withColumns(prepared(whole))
+    df = df.withColumns(counts(whole, F.col("__sample"), F.col("__words"))).drop("__sample", "__words")
     c = {n: F.col(n) for n in COUNTS}
     r = ratios(c)
     df = df.withColumns({**{n: F.bround(x, 4) for n, x in r.items()}, "ocr_quality_score": score(c, r)})

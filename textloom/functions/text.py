@@ -1,7 +1,7 @@
 """Column functions on text. Built-in functions wherever these agree with Python's semantics on every character.
 
 White space, letters and digits are spelt out as classes, as the JVM's shorthands differ from Python's. Normal forms
-and case folding have no built-in function: these run as Arrow functions, and only on rows that aren't plain ASCII.
+and case folding have no built-in function: these run as Arrow functions.
 """
 
 import unicodedata
@@ -19,12 +19,13 @@ WORD = r"[\p{L}\p{N}_]"
 TOKEN = rf"{WORD}+|[^\p{{L}}\p{{N}}_{SPACES}]"
 
 
-def is_ascii(text):
-    return ~F.regexp_like(text, F.lit(r"[^\x00-\x7F]"))
+def unless_ascii(text):
+    """text, or null where it is ASCII alone."""
+    return F.when(F.regexp_like(text, F.lit(r"[^\x00-\x7F]")), text)
 
 
-def _other(name, function):
-    """A function of the rows that aren't ASCII, as an Arrow function that gets null for the others."""
+def _arrow(name, function):
+    """A function of strings as an Arrow function; null stays null."""
 
     def of(s: pd.Series) -> pd.Series:
         return s.map(function, na_action="ignore")
@@ -33,13 +34,13 @@ def _other(name, function):
     return F.pandas_udf(of, T.StringType())
 
 
-_nfc = _other("nfc", lambda t: unicodedata.normalize("NFC", t))
-_canonical = _other("canonical", lambda t: " ".join(unicodedata.normalize("NFKC", t).split()).casefold())
+_nfc = _arrow("nfc", lambda t: t if t.isascii() else unicodedata.normalize("NFC", t))
+_canonical = _arrow("canonical", lambda t: " ".join(unicodedata.normalize("NFKC", t).split()).casefold())
 
 
 def nfc(text):
-    """Normal form C."""
-    return F.coalesce(F.when(is_ascii(text), text), _nfc(F.when(~is_ascii(text), text)))
+    """Normal form C. text is often the end of a chain of steps: it is named once, so that these run once, and all rows go to the Arrow function."""
+    return _nfc(text)
 
 
 def strip(text):
@@ -53,7 +54,7 @@ def strip_line_ends(text):
 def canonical(text):
     """Normal form KC, runs of white space as one space, none at the ends, then case-folded."""
     plain = F.lower(strip(F.regexp_replace(text, rf"{SPACE}+", " ")))
-    return F.coalesce(F.when(is_ascii(text), plain), _canonical(F.when(~is_ascii(text), text)))
+    return F.coalesce(_canonical(unless_ascii(text)), plain)
 
 
 def unix_lines(text):

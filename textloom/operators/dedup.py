@@ -1,7 +1,7 @@
 """Exact and canonical duplicates with a ranked keeper, editions of one work, and how much of their paragraphs these share.
 
-Only digests, row numbers and sort keys are shuffled, never texts. Documents are decided by row: rows of a repeated
-version_id are apart, and validation() counts them.
+What decides is shuffled without texts: digests, row numbers and sort keys. Documents are decided by row: rows of a
+repeated version_id are apart, and validation() counts them.
 """
 
 from pyspark.sql import Window
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions import text as fn
 from textloom.schema import PART_OR_VOLUME, tier_rank
+from textloom.store import stage
 
 #: Characters of a canonical paragraph that counts.
 PARAGRAPH = 80
@@ -84,29 +85,40 @@ def clusters(kept):
 def containment(hashes, group=("work_id", "language"), member: str = "version_id"):
     """(*group, max_containment): the largest share of the smaller document's paragraphs that two of a group's documents have in common; 0 without any.
 
-    Documents meet by shared paragraphs, so that the work follows what is shared and not the pairs of a group.
+    hashes is stored once, and read from there. Documents of equal sets of paragraphs are one, and make their group's
+    share 1. The others meet by shared paragraphs, so that the work follows what is shared and not the pairs of a group.
     """
-    h = hashes.select(*group, member, "paragraph_hash").distinct()
-    sizes = h.groupBy(*group, member).agg(F.count("*").alias("n"))
-    a, b = h.withColumnRenamed(member, "a"), h.withColumnRenamed(member, "b")
-    shared = a.join(b, [*group, "paragraph_hash"]).where("a < b").groupBy(*group, "a", "b").agg(F.count("*").alias("common"))
-    both = shared.join(sizes.withColumnsRenamed({member: "a", "n": "na"}), [*group, "a"]).join(sizes.withColumnsRenamed({member: "b", "n": "nb"}), [*group, "b"])
-    most = both.groupBy(*group).agg(F.max(F.col("common") / F.least("na", "nb")).alias("m"))
-    return hashes.select(*group).distinct().join(most, list(group), "left").select(*group, F.coalesce("m", F.lit(0.0)).alias("max_containment"))
+    h = stage(hashes.select(*group, member, "paragraph_hash").distinct(), "paragraphs")
+    # a sum of hashes stands for a set: nothing is gathered
+    sets = h.groupBy(*group, member).agg(F.count("*").alias("n"), *[F.sum(F.pmod(F.xxhash64("paragraph_hash", F.lit(i)), F.lit(1 << 40))).alias(f"s{i}") for i in (0, 1)])
+    sets = stage(sets.groupBy(*group, "n", "s0", "s1").agg(F.min(member).alias(member), F.count("*").alias("equal")), "paragraph-sets")
+    alike = sets.groupBy(*group).agg(F.max("equal").alias("equal"))
+    same = lambda *on: [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on]
+    rows = h.alias("l").join(sets.alias("r"), same(*group, member)).select("l.*", "r.n").join(alike.where("equal = 1").select(*[F.col(c).alias(f"__{c}") for c in group]), [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group], "left_semi")
+    one, other = (rows.withColumnsRenamed({c: f"{c}_{x}" for c in rows.columns}) for x in "ab")
+    met = [F.col(f"{c}_a") == F.col(f"{c}_b") for c in (*group, "paragraph_hash")]
+    pairs = one.join(other, met).where(F.col(f"{member}_a") < F.col(f"{member}_b")).groupBy(*[F.col(f"{c}_a").alias(f"__{c}") for c in group], f"{member}_a", f"{member}_b")
+    most = pairs.agg((F.count("*") / F.min(F.least("n_a", "n_b"))).alias("m")).groupBy(*[f"__{c}" for c in group]).agg(F.max("m").alias("m"))
+    out = alike.join(most, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group], "left")
+    null_group = F.array_contains(F.array(*[F.col(c).isNull() for c in group]), True)
+    return out.select(*group, F.when((F.col("equal") > 1) & ~null_group, 1.0).otherwise(F.coalesce("m", F.lit(0.0))).alias("max_containment"))
 
 
 def deduplicate(documents, row: str = "_ord", separator: str | None = None):
     """(kept, rejected). kept: documents with a struct deduplication; rejected: the others with reject_reason and keeper.
 
     documents: version_id, work_id, source_id, author, title, translator, language, quality_tier, text and a row number.
+    Digests are stored once, in narrow rows, and so are decisions: texts meet these once, by row.
     """
-    hashed = with_digests(documents)
+    named = [c for c in documents.columns if c not in ("text", "deduplication")]
+    hashed = stage(with_digests(documents).select(*named, "text_sha256", "canonical_text_sha256"), "digests")
     decisions = exact_decisions(hashed, row).select(F.col(row).alias("__row"), "keeper", "kept", "group_size")
-    decided = hashed.join(decisions, hashed[row] == F.col("__row")).drop("__row")
+    decided = stage(hashed.join(decisions, hashed[row] == F.col("__row")), "decided")
     kept = decided.where("kept")
     gone = decided.where("NOT kept").groupBy(F.col("text_sha256").alias("__sha")).agg(F.sort_array(F.collect_list(F.struct(sort_key().alias("k"), "version_id"))).alias("__gone"))
     found = clusters(kept).select(F.col("work_id").alias("__work"), F.col("language").alias("__lang"), "size", "relation")
-    counts = paragraph_hashes(kept, (row,), separator).groupBy(F.col(row).alias("__r")).agg(F.count("*").cast("int").alias("__n"))
+    texts = documents.join(kept.select("__row"), documents[row] == F.col("__row"), "left_semi")
+    counts = paragraph_hashes(texts, (row,), separator).groupBy(F.col(row).alias("__r")).agg(F.count("*").cast("int").alias("__n"))
     out = kept.join(gone, F.col("text_sha256") == F.col("__sha"), "left").join(found, (_text("work_id") == F.col("__work")) & (_text("language") == F.col("__lang")), "left").join(counts, kept[row] == F.col("__r"), "left")
     struct = F.struct(
         F.when(F.col("group_size") > 1, "accepted_exact_duplicate_keeper").otherwise("accepted_unique").alias("status"),
@@ -118,8 +130,10 @@ def deduplicate(documents, row: str = "_ord", separator: str | None = None):
         F.col("relation").alias("same_work_relation"),
         F.coalesce(F.col("size"), F.lit(1)).cast("int").alias("same_work_cluster_size"),
     )
-    rejected = decided.where("NOT kept").select(*documents.columns, F.lit("exact_duplicate").alias("reject_reason"), "keeper")
-    return out.withColumn("deduplication", struct).select(*documents.columns, "deduplication"), rejected
+    about = out.select("__row", struct.alias("__about"))
+    accepted = documents.join(about, documents[row] == F.col("__row")).select(*[documents[c] for c in documents.columns if c != "deduplication"], F.col("__about").alias("deduplication"))
+    why = decided.where("NOT kept").select("__row", F.lit("exact_duplicate").alias("reject_reason"), "keeper")
+    return accepted, documents.join(why, documents[row] == F.col("__row")).select(*[documents[c] for c in documents.columns], "reject_reason", "keeper")
 
 
 def validation(deduplicated):
@@ -147,7 +161,10 @@ def near_pairs(documents, key: str = "doc_id", words: int = 5, similarity: float
     """
     tokens = F.filter(F.split(F.lower("text"), rf"{fn.SPACE}+"), lambda w: w != "")
     shingles = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (words - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, words), " "))))
-    sets = documents.where(F.col("text").isNotNull()).groupBy("text").agg(F.min(key).alias("k")).select("k", tokens.alias("w")).where("size(w) > 0").select("k", shingles.alias("s"))
+    # by a digest: texts meet the narrow rows of their first key only
+    first = documents.where(F.col("text").isNotNull()).groupBy(F.sha2("text", 256).alias("digest")).agg(F.min(key).alias("k"))
+    texts = documents.select(F.col(key).alias("k"), "text", F.sha2("text", 256).alias("digest"))
+    sets = texts.join(first, ["k", "digest"], "left_semi").dropDuplicates(["k", "digest"]).select("k", tokens.alias("w")).where("size(w) > 0").select("k", shingles.alias("s"))
     minimum = lambda i: F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(i))))
     bands = F.array(*[F.xxhash64(F.lit(b), *[minimum(b * rows + r) for r in range(rows)]) for b in range(hashes // rows)])
     banded = sets.select("k", F.explode(bands).alias("band"))

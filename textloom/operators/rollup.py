@@ -12,16 +12,17 @@ TOKENIZER = ("target_family", "backend", "model_id", "tokenizer", "tokenizer_ver
 def sums(counts, dimensions=DIMENSIONS, value: str = "token_count"):
     """(dimension, key, documents, tokens): sums over each dimension and, as dimension total, over all. A null key is a group like others; the total of no rows is 0.
 
-    The dimensions take one pass: rows are expanded by grouping sets, and which set a row is of is told by its grouping id.
+    All take one pass: rows are expanded by grouping sets, and which set a row is of is told by its grouping id.
     """
     n = len(dimensions)
-    # a bit of grouping_id is 0 for the column that is grouped by
-    names = F.create_map(*[x for i, d in enumerate(dimensions) for x in (F.lit((1 << n) - 1 - (1 << (n - 1 - i))), F.lit(d))])
+    # a bit of grouping_id is 0 for the column that is grouped by; the set of none is the total
+    sets = {(1 << n) - 1 - (1 << (n - 1 - i)): d for i, d in enumerate(dimensions)} | {(1 << n) - 1: "total"}
+    names = F.create_map(*[x for g, d in sets.items() for x in (F.lit(g), F.lit(d))])
     rows = counts.select(*[F.col(d).cast("string").alias(d) for d in dimensions], F.col(value).cast("bigint").alias("__v"))
-    figures = [F.count("*").alias("documents"), F.coalesce(F.sum("__v"), F.lit(0)).alias("tokens")]
-    out = rows.groupingSets([[F.col(d)] for d in dimensions], *[F.col(d) for d in dimensions]).agg(F.grouping_id().cast("int").alias("g"), *figures)
-    total = rows.agg(*figures).select(F.lit("total").alias("dimension"), F.lit(None).cast("string").alias("key"), "documents", "tokens")
-    return out.select(names[F.col("g")].alias("dimension"), F.coalesce(*[F.col(d) for d in dimensions]).alias("key"), "documents", "tokens").unionByName(total)
+    out = rows.groupingSets([*[[F.col(d)] for d in dimensions], []], *[F.col(d) for d in dimensions]).agg(F.grouping_id().cast("int").alias("g"), F.count("*").alias("documents"), F.coalesce(F.sum("__v"), F.lit(0)).alias("tokens"))
+    out = out.select(names[F.col("g")].alias("dimension"), F.coalesce(*[F.col(d) for d in dimensions]).alias("key"), "documents", "tokens")
+    nothing = counts.sparkSession.createDataFrame([("total", None, 0, 0)], "dimension string, key string, documents bigint, tokens bigint")
+    return out.unionByName(nothing).groupBy("dimension", "key").agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
 
 
 def top(counts, key: str = "work_id", value: str = "token_count", n: int = 10, order: str = "_ord"):
@@ -35,12 +36,12 @@ def tokenizer_of(counts, order: str = "_ord"):
 
 
 def line_statistics(documents, group=()):
-    """Mean and interpolated quartiles of characters and lines."""
+    """Sum, mean, extremes and interpolated quartiles of characters and lines."""
     rows = documents.select(*group, fn.char_count(F.col("text")).alias("chars"), fn.line_count(F.col("text")).alias("lines"))
     aggregates = [F.count("*").alias("documents")]
     for c in ("chars", "lines"):
         q = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        aggregates += [F.sum(c).alias(f"total_{c}"), F.min(c).alias(f"min_{c}"), q[0].alias(f"p25_{c}"), q[1].alias(f"median_{c}"), q[2].alias(f"p75_{c}"), F.max(c).alias(f"max_{c}")]
+        aggregates += [F.sum(c).alias(f"total_{c}"), F.avg(c).alias(f"mean_{c}"), F.min(c).alias(f"min_{c}"), q[0].alias(f"p25_{c}"), q[1].alias(f"median_{c}"), q[2].alias(f"p75_{c}"), F.max(c).alias(f"max_{c}")]
     return (rows.groupBy(*group) if group else rows).agg(*aggregates)
 
 
@@ -52,7 +53,7 @@ def shares(counts, key: str, value: str = "token_count"):
 
 def pivot(counts, row: str, column: str, values, value: str = "token_count"):
     """Sums by row, a column for each of values and a total; null where there is nothing."""
-    return counts.groupBy(row).pivot(column, list(values)).agg(F.sum(value)).join(counts.groupBy(F.col(row).alias("__r")).agg(F.sum(value).alias("total")), F.col(row).eqNullSafe(F.col("__r"))).drop("__r")
+    return counts.groupBy(row).agg(*[F.sum(F.when(F.col(column) == v, F.col(value))).alias(str(v)) for v in values], F.sum(value).alias("total"))
 
 
 def histogram(rows, *keys):
@@ -80,6 +81,18 @@ def per_work(documents):
     return documents.groupBy("work_id").agg(F.count("*").alias("documents"))
 
 
+def distinct_counts(documents, columns=("work_id", "author")):
+    """One row: documents, and how many different values each column has, null not counted."""
+    return documents.agg(F.count("*").alias("documents"), *[F.count_distinct(c).alias(f"{c}s") for c in columns])
+
+
+def licence_summary(documents, policy):
+    """(license_status, include_by_default, documents, chars): a status that the policy lacks is unknown; null is a status like others."""
+    by = documents.groupBy("license_status").agg(F.count("*").alias("documents"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("chars"))
+    known = F.broadcast(policy.select(F.col("license_status").alias("__status"), "include_by_default"))  # broadcast: a policy's statuses
+    return by.join(known, F.col("license_status") == F.col("__status"), "left").select("license_status", F.coalesce("include_by_default", F.lit("unknown")).alias("include_by_default"), "documents", "chars")
+
+
 def reconciled(counts, documents, totals):
     """One row of checks: counts and documents name the same ids, and sums() of the counts adds up to totals' total in each dimension.
 

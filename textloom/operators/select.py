@@ -39,9 +39,11 @@ def violations(rows, required=REQUIRED, key: str = "version_id"):
 
 
 def last_wins(rows, key: str):
-    """One row a key, the last by _ord; null keys are one key."""
-    w = Window.partitionBy(key).orderBy(F.col("_ord").desc())
-    return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+    """One row a key, the last by _ord; null keys are one key. An aggregate, which combines before its shuffle, so that a key of many rows is no task's."""
+    rest = [c for c in rows.columns if c != key]
+    last = F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), F.coalesce(F.col("_ord").cast("bigint"), F.lit(-(1 << 63))))
+    out = rows.groupBy(key).agg(last.alias("__last"))
+    return out.select(*[F.col(f"`{c}`") if c == key else F.col("__last")[c].alias(c) for c in rows.columns])
 
 
 def with_works(versions, works, fields=("author", "quality_tier", "period")):

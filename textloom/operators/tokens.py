@@ -90,9 +90,9 @@ def revision_of(explicit: str | None, *found: str | None) -> str | None:
     return next((r for r in (explicit, *found) if r), None)
 
 
-def count_records(documents, tokenizer: Tokenizer = Tokenizer(), counted_at_utc: str | None = None):
-    """A row of token_count and char_count for each document, with its own keys and the tokenizer's columns."""
+def count_records(documents, tokenizer: Tokenizer = Tokenizer(), counted_at_utc: str | None = None, also=()):
+    """A row of token_count and char_count for each document, with its own keys and the tokenizer's columns. also: other columns to carry."""
     keys = [F.col(c) if c in documents.columns else F.lit(None).cast("string").alias(c) for c in ("doc_id", "work_id", "version_id", "author", "title", "period", "language", "source", "quality_tier")]
     kinds = {"context_length": "int", "add_special_tokens": "boolean", "plain_text_tokenization": "boolean", "chat_template_applied": "boolean", "enable_thinking": "boolean"}
     about = [F.lit(getattr(tokenizer, c)).cast(kinds.get(c, "string")).alias(c) for c in ("target_family", "backend", "model_id", "tokenizer", "tokenizer_version", "processor_revision", *kinds)]
-    return documents.select(*keys, *about, tokenizer.count(F.col("text")).alias("token_count"), F.coalesce(fn.char_count(F.col("text")), F.lit(0)).alias("char_count"), F.lit(counted_at_utc).cast("string").alias("counted_at_utc"))
+    return documents.select(*keys, *about, tokenizer.count(F.col("text")).alias("token_count"), F.coalesce(fn.char_count(F.col("text")), F.lit(0)).alias("char_count"), F.lit(counted_at_utc).cast("string").alias("counted_at_utc"), *also)

@@ -75,7 +75,9 @@ def select_by_source_lang(spark, sf_dir):
 
 @query("SELECT doc_id FROM documents WHERE doc_id IN (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 987654321)")
 def id_in_list(spark, sf_dir):
-    return table(spark, sf_dir, "documents").where(F.col("doc_id").isin(1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 987654321)).select("doc_id")
+    ids = [str(i) for i in (1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 987654321)]
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("version_id"), F.lit("any").alias("source"), F.lit(select.CONFIDENCE).alias("resolution_confidence"))
+    return select.selected(rows, "any", ids).select("doc_id")
 
 
 @query("SELECT * FROM (VALUES (1::BIGINT), (2), (987654321), (987654322)) v(doc_id) WHERE doc_id NOT IN (SELECT doc_id FROM documents)")
@@ -181,6 +183,23 @@ def same_work_clusters(spark, sf_dir):
     return dedup.clusters(hashed.join(kept, "_ord"))
 
 
+_PARAGRAPHS = f""", n AS (SELECT _ord, count(DISTINCT sha256(c))::INT AS paragraph_hash_count FROM (SELECT _ord, {_canonical('p')} AS c FROM (SELECT _ord, unnest(string_split(text, chr(10))) AS p FROM k WHERE kept)) WHERE length(c) >= 80 GROUP BY _ord),
+g AS (SELECT text_sha256, string_agg(version_id, ',' ORDER BY rank, author, work_id, source_id, version_id) AS gone FROM k WHERE NOT kept GROUP BY text_sha256)"""
+
+
+@query(f"""WITH {_KEEPER}{_CLUSTERS}{_PARAGRAPHS} SELECT version_id, CASE WHEN group_size > 1 THEN 'accepted_exact_duplicate_keeper' ELSE 'accepted_unique' END AS status, k.text_sha256, canonical_text_sha256,
+  coalesce(paragraph_hash_count, 0) AS paragraph_hash_count, coalesce(gone, '') AS exact_duplicate_version_ids, relation IS NOT NULL AS same_work_review, relation AS same_work_relation, coalesce(size, 1)::INT AS same_work_cluster_size
+  FROM k LEFT JOIN r USING (work_id, language) LEFT JOIN n USING (_ord) LEFT JOIN g ON g.text_sha256 = k.text_sha256 WHERE kept""")
+def deduplication_records(spark, sf_dir):
+    kept = dedup.deduplicate(documents(spark, sf_dir), separator="\n")[0].select("version_id", "deduplication.*")
+    return kept.withColumn("exact_duplicate_version_ids", F.array_join("exact_duplicate_version_ids", ","))
+
+
+@query(f"WITH {_KEEPER} SELECT version_id, 'exact_duplicate' AS reject_reason, keeper FROM k WHERE NOT kept")
+def rejected_duplicates(spark, sf_dir):
+    return dedup.deduplicate(documents(spark, sf_dir), separator="\n")[1].select("version_id", "reject_reason", "keeper")
+
+
 _LINES = _DOCS + f""", p AS (SELECT DISTINCT version_id, work_id, language, sha256(c) AS paragraph_hash FROM (SELECT version_id, work_id, language, {_canonical('p')} AS c FROM (SELECT version_id, work_id, language, unnest(string_split(text, chr(10))) AS p FROM d)) WHERE length(c) >= 80)"""
 
 
@@ -250,8 +269,7 @@ def ocr_class_histogram(spark, sf_dir):
 
 
 def _counts(spark, sf_dir):
-    d = documents(spark, sf_dir)
-    return tokens.count_records(d).join(d.select("doc_id", "_ord"), "doc_id")
+    return tokens.count_records(documents(spark, sf_dir), also=("_ord",))
 
 
 _TOKEN_COUNTS = _DOCS + f", t AS (SELECT *, {_tokens('text')} AS token_count FROM d)"
@@ -283,7 +301,7 @@ def period_pivot(spark, sf_dir):
 
 
 @query("""WITH l AS (SELECT lang, length(text) AS chars, CASE WHEN text = '' THEN 0 ELSE length(text) - length(replace(text, chr(10), '')) + 1 END AS lines FROM documents)
-SELECT lang, count(*) AS documents, """ + ", ".join(f"sum({c})::BIGINT AS total_{c}, min({c})::BIGINT AS min_{c}, quantile_cont({c}, 0.25)::DOUBLE AS p25_{c}, quantile_cont({c}, 0.5)::DOUBLE AS median_{c}, quantile_cont({c}, 0.75)::DOUBLE AS p75_{c}, max({c})::BIGINT AS max_{c}" for c in ("chars", "lines")) + " FROM l GROUP BY lang")
+SELECT lang, count(*) AS documents, """ + ", ".join(f"sum({c})::BIGINT AS total_{c}, avg({c}) AS mean_{c}, min({c})::BIGINT AS min_{c}, quantile_cont({c}, 0.25)::DOUBLE AS p25_{c}, quantile_cont({c}, 0.5)::DOUBLE AS median_{c}, quantile_cont({c}, 0.75)::DOUBLE AS p75_{c}, max({c})::BIGINT AS max_{c}" for c in ("chars", "lines")) + " FROM l GROUP BY lang")
 def line_statistics(spark, sf_dir):
     return rollup.line_statistics(table(spark, sf_dir, "documents"), ("lang",))
 
@@ -303,11 +321,17 @@ def shortest_documents(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", fn.char_count(F.col("text")).alias("chars")).orderBy("chars", "doc_id").limit(10)
 
 
-@query(f"WITH {_DOCS} SELECT source AS work_id, min(author) AS author, min(source) AS title, NULL::VARCHAR AS period, NULL::VARCHAR AS quality_tier FROM d WHERE source NOT IN (SELECT source FROM documents WHERE doc_id % 100 = 7) GROUP BY source")
+_WANTED = [("ethics", "An author", "Ethics", "early", "t1"), ("src1", None, "src1", None, None), ("letters", None, "Letters", None, None)]
+_WANTED_SQL = "(VALUES ('ethics', 'An author', 'Ethics', 'early', 't1'), ('src1', NULL, 'src1', NULL, NULL), ('letters', NULL, 'Letters', NULL, NULL)) v(work_id, author, title, period, quality_tier)"
+
+
+@query(f"""WITH works AS (SELECT DISTINCT source AS work_id, 'author of ' || source AS author, source AS title, NULL::VARCHAR AS period, NULL::VARCHAR AS quality_tier FROM documents UNION ALL SELECT * FROM {_WANTED_SQL})
+SELECT * FROM works WHERE work_id NOT IN (SELECT source FROM documents)""")
 def coverage_gaps(spark, sf_dir):
+    """Works of all documents and some wanted ones, against all documents."""
     d, none = documents(spark, sf_dir), F.lit(None).cast("string")
-    works = d.groupBy(F.col("source").alias("work_id")).agg(F.min("author").alias("author"), F.min("source").alias("title")).select("*", none.alias("period"), none.alias("quality_tier"))
-    return rollup.coverage_gaps(works, d.where("_ord % 100 = 7"))
+    works = d.select("work_id", "author", F.col("source").alias("title"), none.alias("period"), none.alias("quality_tier")).distinct()
+    return rollup.coverage_gaps(works.unionAll(spark.createDataFrame(_WANTED, works.schema)), d)
 
 
 @query("SELECT doc_id, length(text)::BIGINT AS chars FROM documents WHERE length(text) < 300")
@@ -320,6 +344,36 @@ def manifest_summary(spark, sf_dir):
     return export.manifest_summary(documents(spark, sf_dir))
 
 
+@query("SELECT 'regex' AS backend, 'unicode_words' AS about, count(*) AS documents, count(DISTINCT source) AS work_ids, count(DISTINCT source) AS authors FROM documents")
+def tokenizer_and_works(spark, sf_dir):
+    """What the first count says of its tokenizer, and how many works and authors there are."""
+    counts = _counts(spark, sf_dir)
+    about = rollup.tokenizer_of(counts).select("backend", F.lit("unicode_words").alias("about"))
+    return about.join(F.broadcast(rollup.distinct_counts(counts)))  # broadcast: one row each
+
+
+@query("""SELECT license_status, coalesce(include_by_default, 'unknown') AS include_by_default, documents, chars FROM (SELECT CASE WHEN doc_id % 11 <> 0 THEN lang END AS license_status, count(*) AS documents, sum(length(text))::BIGINT AS chars FROM documents GROUP BY 1)
+  LEFT JOIN (VALUES ('en', 'true'), ('de', 'review'), ('fr', 'false')) v(license_status, include_by_default) USING (license_status)""")
+def licence_summary(spark, sf_dir):
+    policy = spark.createDataFrame([("en", "true"), ("de", "review"), ("fr", "false")], "license_status string, include_by_default string")
+    rows = table(spark, sf_dir, "documents").select("text", F.when(F.pmod("doc_id", F.lit(11)) != 0, F.col("lang")).alias("license_status"))
+    return rollup.licence_summary(rows, policy)
+
+
+@query("SELECT source AS work_id, count(*) AS documents FROM documents GROUP BY source")
+def documents_per_work(spark, sf_dir):
+    return rollup.per_work(documents(spark, sf_dir))
+
+
+@query("SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.quality IS NULL OR l.quality <> 0")
+def scan_gate_of_all(spark, sf_dir):
+    """Documents without a score stay, too."""
+    labels = table(spark, sf_dir, "labels")
+    scores = labels.select(F.col("doc_id").alias("source_id"), F.col("doc_id").alias("_ord"), F.col("quality").cast("double").alias("ocr_quality_score"), F.when(F.col("quality") == 0, "reject").otherwise("ocr_gold").alias("ocr_quality_class"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source_id"))
+    return select.scan_gate(docs, scores).select(F.col("source_id").alias("doc_id"), F.col("ocr_quality_score").cast("int").alias("quality"))
+
+
 @query(f"WITH {_TOKEN_COUNTS} SELECT 0::BIGINT AS without_count, 0::BIGINT AS without_document, true AS sums_agree, sum(token_count)::BIGINT AS tokens FROM t")
 def token_reconciliation(spark, sf_dir):
     counts = tokens.count_records(documents(spark, sf_dir))
@@ -340,6 +394,26 @@ def html_body_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.sha2(markup.html_text("html"), 256).alias("digest"))
 
 
+_XHTML = "<html xmlns='http://www.w3.org/1999/xhtml'><head><title>no</title></head><body><script>no</script>%s<p>first<br/>second </p><div><b>bold</b> tail</div></body></html>"
+_PAGE_WORDS = rf"regexp_extract_all(regexp_replace(html, '[^a-zA-Z ]', ' ', 'g'), '[a-zA-Z]+')"
+
+
+@query(rf"SELECT page_id, array_to_string({_PAGE_WORDS}, ' ') || chr(10) || chr(10) || 'first' || chr(10) || 'second ' || chr(10) || chr(10) || 'bold tail' AS text FROM pages")
+def xhtml_body_text(spark, sf_dir):
+    """Pages of XHTML that parse: a block of each page's words, then blocks, a line end and a tail."""
+    words = F.array_join(F.regexp_extract_all(F.regexp_replace("html", "[^a-zA-Z ]", " "), F.lit("[a-zA-Z]+"), F.lit(0)), " ")
+    before, after = _XHTML.split("%s")
+    page = F.concat(F.lit(before + "<h1>"), words, F.lit("</h1>" + after))
+    return table(spark, sf_dir, "pages").select("page_id", markup.html_text(page).alias("text"))
+
+
+@query("SELECT count(*) AS texts, count(*) FILTER (doc_id % 4 = 0) AS with_markers FROM documents")
+def sentinel_found(spark, sf_dir):
+    """Every fourth text holds a marker."""
+    text = F.when(F.pmod("doc_id", F.lit(4)) == 0, F.concat("text", F.lit("\n*** END OF THE PROJECT GUTENBERG EBOOK X ***"))).otherwise(F.col("text"))
+    return table(spark, sf_dir, "documents").agg(F.count("*").alias("texts"), F.sum((boilerplate.markers_left(text) > 0).cast("bigint")).alias("with_markers"))
+
+
 @query(rf"""SELECT doc_id, sha256(nfc_normalize(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '\n{{3,}}', chr(10) || chr(10), 'g'), '(?m)^[ \t]*[\p{{Nd}}\-—–]+[ \t]*$', '', 'g'),
   '[{_S}]+([.,:;!?])', '\1', 'g'), '([.,:;!?])[{_S}]+', '\1 ', 'g'), ' +', ' ', 'g'), '\n +', chr(10), 'g'), '{_STRIP}', '', 'g'))) AS digest FROM (SELECT doc_id, '12' || chr(10) || replace(text, ' ', '  ') || chr(10) || ' - 7 -' AS t FROM documents)""")
 def clean_ocr_text(spark, sf_dir):
