@@ -186,17 +186,16 @@ def _firsts(places, *more):
 def _later(places, firsts):
     """(doc_id, h, start, stop) of the places that aren't the first of their key. places is a stored table. In the document of the first one only what lies after it."""
     most = max(LEAST_HOT, int(places.count() * HOT))
-    hot = firsts.where(F.col("n") > most).select("key", "of")
-    rest = firsts.where((F.col("n") > 1) & (F.col("n") <= most)).select("key", "of")
-    # merge: else a small side would be broadcast, and a larger input would be another plan
-    both = places.join(rest.hint("merge"), "key")
-    if not hot.isEmpty():
-        # broadcast: more than a share HOT of the places each, so 1 / HOT keys at most
-        cold = places.join(F.broadcast(hot.select("key")), "key", "left_anti")
-        both = cold.join(rest.hint("merge"), "key").unionByName(places.join(F.broadcast(hot), "key"))
+    several = firsts.where("n > 1")
+    # broadcast: more than a share HOT of the places each, so 1 / HOT keys at most
+    hot = F.broadcast(several.where(F.col("n") > most).select("key", F.col("of").alias("hot")))
+    # rows that have met then, by a key of their own, none; merge: else a small side would be broadcast, and a larger input would be another plan
+    rest = several.where(F.col("n") <= most).select(F.col("key").alias("other"), F.col("of").alias("rest")).hint("merge")
+    own = F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.xxhash64("doc_id", "h", "start"))
+    both = places.join(hot, "key", "left").withColumn("own", own).join(rest, F.col("own") == F.col("other"), "left").withColumn("of", F.coalesce("hot", "rest")).where("of IS NOT NULL")
     same = F.col("doc_id").eqNullSafe(F.col("of.doc_id")) & (F.col("h") == F.col("of.h"))
-    own = F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start"))
-    return both.where(~(same & (F.col("start") == F.col("of.start")))).select("doc_id", "h", own.alias("start"), "stop").where("start < stop")
+    begin = F.when(same, F.greatest("start", F.col("of.stop"))).otherwise(F.col("start"))
+    return both.where(~(same & (F.col("start") == F.col("of.start")))).select("doc_id", "h", begin.alias("start"), "stop").where("start < stop")
 
 
 def repeated_runs(docs, window: int = WINDOW, gram: int = GRAM):

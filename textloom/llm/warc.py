@@ -54,14 +54,13 @@ def records(pages, least: int = 0):
     first = stage(rows.where(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").withColumnRenamed("digest", "of_digest"), "warc-first", spark)
     most = max(LEAST_HOT, int((first.agg(F.sum("n")).first()[0] or 0) * HOT))
 
-    same = (F.col("digest") == F.col("of_digest")) & (F.col("bytes") >= least)
-    hot = first.where(F.col("n") > most)
-    if hot.isEmpty():
-        rows = rows.join(first, same, "left")
-    else:
-        # broadcast: 1 / HOT digests at most; so no digest that a third of all pages share, as empty ones do, is a key of a shuffle
-        rest = rows.join(F.broadcast(hot.select("of_digest")), same, "left_anti").join(first.where(F.col("n") <= most), same, "left")
-        rows = rows.join(F.broadcast(hot), same).unionByName(rest)
+    # broadcast: 1 / HOT digests at most; so no digest that a third of all pages share, as empty ones do, is a key of a shuffle
+    hot = F.broadcast(first.where(F.col("n") > most).select(F.col("of_digest").alias("hot_digest"), F.col("first").alias("hot")))
+    rest = first.where(F.col("n") <= most).select("of_digest", F.col("first").alias("rest"))
+    rows = rows.join(hot, (F.col("digest") == F.col("hot_digest")) & (F.col("bytes") >= least), "left")
+    # rows that have met then, by a key of their own, none
+    own = F.when(F.col("hot").isNull() & (F.col("bytes") >= least), F.col("digest")).otherwise(F.xxhash64("url", "page_id").cast("string"))
+    rows = rows.withColumn("own", own).join(rest, F.col("own") == F.col("of_digest"), "left").withColumn("first", F.coalesce("hot", "rest"))
     name = lambda page: F.concat(F.lit(ID), F.coalesce(page.cast("string"), F.lit("null")), F.lit(":"), F.col("digest"), F.lit(">"))
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("page_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
