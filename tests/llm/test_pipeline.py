@@ -39,3 +39,20 @@ def test_stages(spark, make_docs, tmp_path):
     final = corpus_pipeline.run(spark, sf).collect()
     assert final and all(r.n_tokens == len(r.ids) for r in final)
     assert [n for n, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_no_documents_and_odd_ones(spark, make_docs, tmp_path):
+    """Empty tables give no rows; null, empty, repeated and very long texts, null ids and labels pass all stages."""
+    from conftest import prose
+
+    def run(rows, labels):
+        sf = str(tmp_path / f"sf{len(rows)}")
+        make_docs(rows).write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+        return corpus_pipeline.run(spark, sf).collect()
+
+    assert run([], []) == []
+    rows = [(d, prose(d, 60), None if d % 5 == 0 else "a") for d in range(40)] + [(None, None), (None, prose(1, 60)), (3, prose(3, 60)), (50, ""), (51, prose(51, 30_000)), (52, " \n "), (None, prose(60, 60))]
+    out = run(rows, [(d, 1, None) for d in range(40)] + [(None, 0, 1), (41, None, None)])
+    texts = {r.ids_sha256 for r in out}
+    assert len(texts) == 44 and all(r.n_tokens == len(r.ids) for r in out) and max(r.n_tokens for r in out) > 30_000

@@ -82,7 +82,7 @@ class Signer:
 
 
 def sketch(docs, size: int, bands: int):
-    """(doc_id, row, n, s1, s2, bands): row numbers the rows, s1 and s2 stand for the shingle set, n is its size; no bands for an empty set."""
+    """(doc_id, h, row, n, s1, s2, bands): h is xxhash64 of the text, row numbers the rows, s1 and s2 stand for the shingle set, n is its size; no bands for an empty set."""
 
     def run(batches):
         from pyspark import TaskContext
@@ -91,14 +91,15 @@ def sketch(docs, size: int, bands: int):
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 part, out = batch.slice(k, 1000), []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
+                for doc, text, h in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist()):
                     s = shingle(text.as_py())
                     s1, s2 = key_of(s)
-                    out.append((doc, row, len(s), s1, s2, signer.bands(s) if len(s) else []))
+                    out.append((doc, h, row, len(s), s1, s2, signer.bands(s) if len(s) else []))
                     row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())))], ["doc_id", "row", "n", "s1", "s2", "bands"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (*[pa.int64()] * 6, pa.list_(pa.int64())))], ["doc_id", "h", "row", "n", "s1", "s2", "bands"])
 
-    return narrow(docs, doc_id="bigint", text="string").mapInArrow(run, "doc_id bigint, row bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>")
+    rows = narrow(docs, doc_id="bigint", text="string").select("doc_id", "text", F.xxhash64("text").alias("h"))
+    return rows.mapInArrow(run, "doc_id bigint, h bigint, row bigint, n bigint, s1 bigint, s2 bigint, bands array<bigint>")
 
 
 def _within_batches(batches):
@@ -207,23 +208,13 @@ def _compare(num: int, den: int):
     return run
 
 
-def near_duplicates(docs, words: int = 5, num: int = 80, den: int = 100, rows: int = ROWS, miss: float = MISS, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES):
-    """(doc_id, n_shingles, component_id, kept) of every row of docs.
-
-    Documents are linked where den * |A and B| >= num * |A or B| of their distinct shingles of so many words; a link
-    is missed with a chance of miss at most, and none is made that doesn't hold. component_id is the smallest doc_id
-    reachable. A null or empty text has no shingles and no links. A null doc_id reaches its links' smallest doc_id and
-    is null only without one; kept compares null-safely. Rows of a repeated doc_id are nodes of their own. Other
-    columns don't matter.
-
-    Rows of one candidate group are compared in blocks of block_sets sets: what a block reads is bounded, and a group
-    of m different sets is read m / block_sets times. Equal sets are compared once, however many they are.
-    """
+def _grouped(docs, words: int, num: int, den: int, rows: int, miss: float, block_sets: int, block_shingles: int):
+    """(doc_id, h, n, c, first_h) of every row: c and first_h name the first document of those that links reach, by doc_id, null last, and h; null where there are no others."""
     spark = docs.sparkSession
     all_rows = stage(sketch(docs, words, bands_for(num / den, rows, miss)), "near-sketch", spark)
     some = all_rows.where("n > 0")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
-    reps = stage(some.groupBy("s1", "s2").agg(F.min(order).alias("m"), F.count("*").alias("copies"), F.first("n").alias("n")).select(F.col("m.row").alias("node"), F.col("m.doc_id").alias("doc_id"), "s1", "s2", "copies", "n"), "near-sets", spark)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "row")
+    reps = stage(some.groupBy("s1", "s2").agg(F.min(order).alias("m"), F.count("*").alias("copies"), F.first("n").alias("n")).select(F.col("m.row").alias("node"), F.col("m.doc_id").alias("doc_id"), F.col("m.h").alias("h"), "s1", "s2", "copies", "n"), "near-sets", spark)
     nodes = some.groupBy("s1", "s2").agg(F.min_by("bands", order).alias("bands"), F.min(order).alias("m")).select(F.col("m.row").alias("node"), "bands")
     groups = components(stage(candidate_edges(nodes), "near-candidates", spark)).withColumnRenamed("component", "grp")
     members = stage(reps.join(groups, "node"), "near-members", spark)
@@ -249,18 +240,38 @@ def near_duplicates(docs, words: int = 5, num: int = 80, den: int = 100, rows: i
     sets = texts.mapInArrow(full, "node bigint, grp bigint, chunks int, body binary").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
     pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("grp", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "chunk", "body")
     found = components(stage(pairs.groupBy("grp", "i", "j").applyInArrow(_compare(num, den), "a bigint, b bigint"), "near-links", spark))
-    named = stage(found.join(reps.select("node", "doc_id", "s1", "s2"), "node"), "near-named", spark)
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    of_sets = named.join(smallest, "component").select("s1", "s2", "component_id")
-    copies = reps.where("copies > 1").join(found.select("node"), "node", "left_anti").select("s1", "s2", F.col("doc_id").alias("component_id"))
-    known = of_sets.unionByName(copies)
-    out = all_rows.select("doc_id", "n", "s1", "s2").join(known.withColumnRenamed("component_id", "c"), ["s1", "s2"], "left")
+    named = stage(found.join(reps.select("node", "doc_id", "h", "s1", "s2"), "node"), "near-named", spark)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("of")
+    of_sets = named.join(named.groupBy("component").agg(first), "component").select("s1", "s2", F.col("of.doc_id").alias("c"), F.col("of.h").alias("first_h"))
+    copies = reps.where("copies > 1").join(found.select("node"), "node", "left_anti").select("s1", "s2", F.col("doc_id").alias("c"), F.col("h").alias("first_h"))
+    return all_rows.select("doc_id", "h", "n", "s1", "s2").join(of_sets.unionByName(copies), ["s1", "s2"], "left").select("doc_id", "h", "n", "c", "first_h")
+
+
+def near_duplicates(docs, words: int = 5, num: int = 80, den: int = 100, rows: int = ROWS, miss: float = MISS, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES):
+    """(doc_id, n_shingles, component_id, kept) of every row of docs.
+
+    Documents are linked where den * |A and B| >= num * |A or B| of their distinct shingles of so many words; a link
+    is missed with a chance of miss at most, and none is made that doesn't hold. component_id is the smallest doc_id
+    reachable. A null or empty text has no shingles and no links. A null doc_id reaches its links' smallest doc_id and
+    is null only without one; kept compares null-safely. Rows of a repeated doc_id are nodes of their own. Other
+    columns don't matter.
+
+    Rows of one candidate group are compared in blocks of block_sets sets: what a block reads is bounded, and a group
+    of m different sets is read m / block_sets times. Equal sets are compared once, however many they are.
+    """
+    out = _grouped(docs, words, num, den, rows, miss, block_sets, block_shingles)
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def deduplicate(docs, **how):
-    """The rows of docs, with all their columns, whose document is kept by near_duplicates(docs, **how). Rows of one doc_id stay or go together; a null doc_id stays."""
-    removed = near_duplicates(docs, **how).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(~F.col("kept")).select(F.col("doc_id").alias("__removed"))
+def deduplicate(docs, words: int = 5, num: int = 80, den: int = 100, rows: int = ROWS, miss: float = MISS, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES):
+    """The rows of docs, with all their columns, without documents that links of near_duplicates() join to an earlier one: by doc_id, null last, then by a hash of the text.
+
+    So one document of each group stays, also where doc_ids are null or repeated. Rows equal in doc_id and text are one
+    document, and stay or go together.
+    """
+    found = _grouped(docs, words, num, den, rows, miss, block_sets, block_shingles).where("first_h IS NOT NULL AND NOT (doc_id <=> c AND h = first_h)")
+    removed = found.select(F.col("doc_id").alias("__removed"), F.col("h").alias("__h")).distinct()
+    same = column(docs, "doc_id", "bigint").eqNullSafe(F.col("__removed")) & (F.xxhash64(column(docs, "text", "string")) == F.col("__h"))
     # merge: else a few removed rows would be broadcast, and the same step would be another one on a larger input
-    return docs.join(removed.hint("merge"), column(docs, "doc_id", "bigint") == F.col("__removed"), "left_anti")
+    return docs.join(removed.hint("merge"), same, "left_anti")
