@@ -28,5 +28,11 @@ def narrow(df, **kinds: str):
     return df.select(*[column(df, n, k) for n, k in kinds.items()])
 
 
+def never_empty(df, key):
+    """df and a row of this key and else nulls, which no other row has: so that a join with few rows is one, where none are, too, and the plan the same at every size."""
+    nothing = df.sparkSession.createDataFrame([(key, *[None] * (len(df.columns) - 1))], df.schema)
+    return df.unionByName(nothing)
+
+
 def partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from ._store import drop, narrow, partitions, stage
+from ._store import drop, narrow, never_empty, partitions, stage
 from ._words import Prefix, lowered, mix, words
 
 #: Words of a run that is removed, at least, and of a gram.
@@ -188,7 +188,7 @@ def _later(places, firsts):
     most = max(LEAST_HOT, int(places.count() * HOT))
     several = firsts.where("n > 1")
     # broadcast: more than a share HOT of the places each, so 1 / HOT keys at most
-    hot = F.broadcast(several.where(F.col("n") > most).select("key", F.col("of").alias("hot")))
+    hot = F.broadcast(never_empty(several.where(F.col("n") > most).select("key", F.col("of").alias("hot")), 0))
     # rows that have met then, by a key of their own, none; merge: else a small side would be broadcast, and a larger input would be another plan
     rest = several.where(F.col("n") <= most).select(F.col("key").alias("other"), F.col("of").alias("rest")).hint("merge")
     own = F.when(F.col("hot").isNull(), F.col("key")).otherwise(F.xxhash64("doc_id", "h", "start"))

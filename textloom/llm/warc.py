@@ -12,7 +12,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from ._store import narrow, new_path, partitions, stage
+from ._store import narrow, never_empty, new_path, partitions, stage
 
 #: Payloads of up to so many bytes share an archive with so many records; longer ones have it to themselves.
 ARCHIVES = ((64 << 10, 4_000), (4 << 20, 64))
@@ -55,7 +55,7 @@ def records(pages, least: int = 0):
     most = max(LEAST_HOT, int((first.agg(F.sum("n")).first()[0] or 0) * HOT))
 
     # broadcast: 1 / HOT digests at most; so no digest that a third of all pages share, as empty ones do, is a key of a shuffle
-    hot = F.broadcast(first.where(F.col("n") > most).select(F.col("of_digest").alias("hot_digest"), F.col("first").alias("hot")))
+    hot = F.broadcast(never_empty(first.where(F.col("n") > most).select(F.col("of_digest").alias("hot_digest"), F.col("first").alias("hot")), ""))
     rest = first.where(F.col("n") <= most).select("of_digest", F.col("first").alias("rest"))
     rows = rows.join(hot, (F.col("digest") == F.col("hot_digest")) & (F.col("bytes") >= least), "left")
     # rows that have met then, by a key of their own, none
