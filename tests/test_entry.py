@@ -3,7 +3,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
-from textloom.plans import catalogue
+from textloom.plans import catalogue, records  # noqa: F401  records adds to the catalogue
 
 SF = "/root/testdata/sf0.001"
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from textloom.functions import markup
 from textloom.plans import normalize
 from textloom.schema import VERSIONS, WORKS
-from textloom.sources import files, jsonl, policies
+from textloom.sources import files, jsonl, parquet, policies
 from textloom.streaming import incremental
 
 
@@ -143,3 +143,14 @@ def test_incremental(spark, tmp_path):
     spark.createDataFrame([(4, "b"), (5, "c")], schema).write.mode("append").json(src)
     run()
     assert sorted(r.text for r in spark.read.parquet(out).collect()) == ["a", "b", "c"]
+
+
+def test_parquet_by_schema_in_order(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    rows = spark.createDataFrame([("b", 2, "x"), ("a", 1, None), (None, 3, "y")], "doc_id string, token_count int, other string")
+    parquet.write(rows, path, "token_count BIGINT, doc_id STRING, about STRING", order=("doc_id",))
+    out = parquet.read(spark, path, "token_count BIGINT, doc_id STRING, about STRING")
+    assert out.dtypes == [("token_count", "bigint"), ("doc_id", "string"), ("about", "string")]
+    assert [tuple(r) for r in out.withColumn("at", F.struct("_metadata.file_name", F.monotonically_increasing_id())).orderBy("at").drop("at").collect()] == [(3, None, None), (1, "a", None), (2, "b", None)]
+    parquet.write(rows.limit(0), str(tmp_path / "none"), "doc_id STRING")
+    assert parquet.read(spark, str(tmp_path / "none"), "doc_id STRING").count() == 0
