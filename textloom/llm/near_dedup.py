@@ -3,7 +3,9 @@
 Each permutation of the shingles' hashes gives two values of a signature, its minimum and its maximum, so that half as
 many hashes are evaluated. Bands of the signature join documents to candidate groups; links within these are
 confirmed on full shingle sets. Documents with equal sets are one node from the start. A candidate group is compared
-in blocks of bounded size, and a block passes on no more links than connect its members.
+in blocks of bounded size: first each block by itself with a few sets of the whole group, which connect the blocks of
+near copies; then only what that left apart with all of the group. A block passes on no more links than connect its
+members.
 """
 
 import math
@@ -13,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from ._store import column, narrow, partitions, stage
+from ._store import column, drop, narrow, partitions, stage
 from ._words import lowered, mix, words
 from .components import components
 
@@ -23,6 +25,8 @@ MISS = 1e-7
 ROWS = 6
 #: Sets and shingles of a block, at most on average.
 BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
+#: Sets of a group that all its blocks get, about, besides its first.
+COMMON = 8
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)]
 
 
@@ -192,22 +196,55 @@ def links(sets: list[np.ndarray], left: list[int], right: list[int] | None, num:
     return out
 
 
-def _compare(num: int, den: int):
+def _compare(num: int, den: int, within: bool):
+    """Links of a block: among its sets of side 1, or between those of side 0 and those of side 1."""
+
     def run(key, table):
-        first, second = key[1].as_py(), key[2].as_py()
         by = {}
-        for node, chunk, body in zip(*(table[n].to_pylist() for n in ("node", "chunk", "body"))):
-            by.setdefault(node, (chunk, body))
+        for node, side, body in zip(*(table[n].to_pylist() for n in ("node", "side", "body"))):
+            by.setdefault((side, node), body)
         nodes = sorted(by)
-        sets = [np.frombuffer(by[n][1], np.uint64) for n in nodes]
-        left = [i for i, n in enumerate(nodes) if by[n][0] == first]
-        right = None if first == second else [i for i, n in enumerate(nodes) if by[n][0] == second]
-        found = links(sets, left, right, num, den) if left and (right is None or right) else []
-        return pa.table({"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())})
+        sets = [np.frombuffer(by[n], np.uint64) for n in nodes]
+        left = [i for i, n in enumerate(nodes) if n[0] == 0]
+        right = [i for i, n in enumerate(nodes) if n[0] == 1]
+        found = links(sets, right if within else left, None if within else right, num, den) if right and (within or left) else []
+        return pa.table({"a": pa.array([nodes[i][1] for i, _ in found], pa.int64()), "b": pa.array([nodes[j][1] for _, j in found], pa.int64())})
 
     return run
 
 
+def _apart(sets, edges, block_sets: int, block_shingles: int):
+    """(node, parts, is_rest) of groups of several blocks that edges leave in several components: is_rest outside of the largest. parts: blocks of the rest."""
+    nodes = sets.where("chunks > 1").select("node", "grp", "n").distinct()
+    placed = stage(nodes.join(components(edges), "node", "left").select("node", "grp", "n", F.coalesce("component", "node").alias("c")), "near-placed", sets.sparkSession)
+    largest = placed.groupBy("grp", "c").agg(F.count("*").alias("k")).groupBy("grp").agg(F.max_by("c", F.struct("k", "c")).alias("largest"))
+    told = placed.join(largest, "grp").select("node", "grp", "n", (F.col("c") != F.col("largest")).alias("is_rest"))
+    rest = told.where("is_rest").groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("parts"))
+    return told.join(rest, "grp").select("node", "parts", "is_rest")
+
+
+def confirmed(sets, num: int, den: int, block_sets: int, block_shingles: int):
+    """(node, component) of sets that links join. sets: a stored table (node, grp, n, size, chunks, body): of a group grp, named by its first node, in so many blocks.
+
+    In the first pass a set goes to its block, and the group's first and about COMMON others to all of its blocks. Where
+    that leaves one component, every link is within it. Elsewhere the sets outside the largest component meet all of
+    the group in a second pass, so that all links between components are found.
+    """
+    spark = sets.sparkSession
+    sets = sets.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    often = F.least(F.lit(COMMON), F.greatest(F.lit(1), F.floor(F.col("size") / (8 * F.col("chunks")))))
+    common = (F.col("node") == F.col("grp")) | (F.pmod(F.xxhash64("node", F.lit(1)), "size") < often)
+    to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    blocks = sets.select("grp", F.explode(F.when(common, to("chunks")).otherwise(F.array("chunk"))).alias("j"), F.lit(1).alias("side"), "node", "body")
+    first = stage(blocks.groupBy("grp", "j").applyInArrow(_compare(num, den, True), "a bigint, b bigint"), "near-links", spark)
+    # merge: else a small table would be broadcast, and the same step would be another one on a larger input
+    apart = sets.join(stage(_apart(sets, first, block_sets, block_shingles), "near-apart", spark).hint("merge"), "node")
+    right = apart.select("grp", F.explode(to("parts")).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "body")
+    left = apart.where("is_rest").select("grp", F.pmod(F.xxhash64("node", F.lit(2)), "parts").cast("int").alias("i"), F.explode(to("chunks")).alias("j"), F.lit(0).alias("side"), "node", "body")
+    second = stage(left.unionByName(right).groupBy("grp", "i", "j").applyInArrow(_compare(num, den, False), "a bigint, b bigint"), "near-more-links", spark)
+    return components(first.unionByName(second).where("a != b"))
+
+
 def _grouped(docs, words: int, num: int, den: int, rows: int, miss: float, block_sets: int, block_shingles: int):
     """(doc_id, h, n, c, first_h) of every row: c and first_h name the first document of those that links reach, by doc_id, null last, and h; null where there are no others."""
     spark = docs.sparkSession
@@ -218,10 +255,10 @@ def _grouped(docs, words: int, num: int, den: int, rows: int, miss: float, block
     nodes = some.groupBy("s1", "s2").agg(F.min_by("bands", order).alias("bands"), F.min(order).alias("m")).select(F.col("m.row").alias("node"), "bands")
     groups = components(stage(candidate_edges(nodes), "near-candidates", spark)).withColumnRenamed("component", "grp")
     members = stage(reps.join(groups, "node"), "near-members", spark)
-    sizes = members.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("chunks"))
-    wanted = stage(members.join(sizes, "grp").select(F.col("doc_id").alias("wanted_id"), "node", "grp", "chunks", "s1", "s2"), "near-wanted", spark)
+    sizes = members.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("chunks"), F.count("*").alias("size"))
+    wanted = stage(members.join(sizes, "grp").select(F.col("doc_id").alias("wanted_id"), "node", "grp", "n", "size", "chunks", "s1", "s2"), "near-wanted", spark)
     # merge: else a small wanted would be broadcast, and the same step would be another one on a larger input
-    texts = narrow(docs, doc_id="bigint", text="string").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "node", "grp", "chunks", "s1", "s2")
+    texts = narrow(docs, doc_id="bigint", text="string").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "s1", "s2", "node", "grp", "n", "size", "chunks")
 
     def full(batches):
         shingle = Shingler(words)
@@ -229,17 +266,17 @@ def _grouped(docs, words: int, num: int, den: int, rows: int, miss: float, block
             for k in range(0, batch.num_rows, 500):
                 part = batch.slice(k, 500)
                 body, keep = [], []
-                for text, s1, s2 in zip(part.column(0), part.column(4).to_pylist(), part.column(5).to_pylist()):
+                for text, s1, s2 in zip(part.column(0), part.column(1).to_pylist(), part.column(2).to_pylist()):
                     s = shingle(text.as_py())
                     keep.append(key_of(s) == (s1, s2))
                     if keep[-1]:
                         body.append(s.tobytes())
                 part = part.filter(pa.array(keep, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), part.column(3), pa.array(body, pa.binary())], ["node", "grp", "chunks", "body"])
+                yield pa.RecordBatch.from_arrays([*part.columns[3:], pa.array(body, pa.binary())], ["node", "grp", "n", "size", "chunks", "body"])
 
-    sets = texts.mapInArrow(full, "node bigint, grp bigint, chunks int, body binary").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
-    pairs = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select("grp", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "node", "chunk", "body")
-    found = components(stage(pairs.groupBy("grp", "i", "j").applyInArrow(_compare(num, den), "a bigint, b bigint"), "near-links", spark))
+    sets = stage(texts.mapInArrow(full, "node bigint, grp bigint, n bigint, size bigint, chunks int, body binary"), "near-full", spark)
+    found = stage(confirmed(sets, num, den, block_sets, block_shingles), "near-found", spark)
+    drop(sets)
     named = stage(found.join(reps.select("node", "doc_id", "h", "s1", "s2"), "node"), "near-named", spark)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("of")
     of_sets = named.join(named.groupBy("component").agg(first), "component").select("s1", "s2", F.col("of.doc_id").alias("c"), F.col("of.h").alias("first_h"))
@@ -256,8 +293,9 @@ def near_duplicates(docs, words: int = 5, num: int = 80, den: int = 100, rows: i
     is null only without one; kept compares null-safely. Rows of a repeated doc_id are nodes of their own. Other
     columns don't matter.
 
-    Rows of one candidate group are compared in blocks of block_sets sets: what a block reads is bounded, and a group
-    of m different sets is read m / block_sets times. Equal sets are compared once, however many they are.
+    Rows of one candidate group are compared in blocks of block_sets sets: what a block reads is bounded. A group of
+    near copies is read once; of r sets that aren't linked with most of the group so, all of it is read r / block_sets
+    times more. Equal sets are compared once, however many they are.
     """
     out = _grouped(docs, words, num, den, rows, miss, block_sets, block_shingles)
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("c", "doc_id").alias("component_id"))
