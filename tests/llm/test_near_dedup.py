@@ -84,7 +84,7 @@ def test_near_copies_are_read_once(spark):
     """A group of near copies is one component after the first pass, so that nothing is left for the second."""
     rng, base = random.Random(3), prose(31, 150)
     sets = sets_of(spark, [edited(base, rng, rng.choice((1, 2))) for _ in range(400)], 32)
-    of = near_dedup.confirmed(sets, 85, 100, 32, 500_000)
+    of = near_dedup.confirmed(sets, sets, 85, 100, 32, 500_000)
     assert {tuple(r) for r in of.collect()} == {(i, 0) for i in range(400)}
     assert near_dedup._apart(sets, of.select(near_dedup.F.col("node").alias("a"), near_dedup.F.col("component").alias("b")), 32, 500_000).collect() == []
 
@@ -95,7 +95,8 @@ def test_components_across_blocks(spark):
     texts = [prose(56, 100)] + [" ".join(w[i * 4 : i * 4 + 100]) for i in range(60)] + [prose(100 + i, 60) for i in range(20)]
     texts += [edited(prose(s, 120), rng, 1) for s in (61, 62) for _ in range(30)]
     for block in (4, 16):
-        got = {r.node: r.component for r in near_dedup.confirmed(sets_of(spark, texts, block), 85, 100, block, 500_000).collect()}
+        sets = sets_of(spark, texts, block)
+        got = {r.node: r.component for r in near_dedup.confirmed(sets, sets, 85, 100, block, 500_000).collect()}
         want = {d: c for d, _, c, _ in brute(list(enumerate(texts)), 3, 85, 100)}
         assert {i: got.get(i, i) for i in range(len(texts))} == want
 

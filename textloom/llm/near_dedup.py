@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from ._store import column, drop, narrow, partitions, stage
+from ._store import column, narrow, partitions, stage
 from ._words import lowered, mix, words
 from .components import components
 
@@ -196,52 +196,72 @@ def links(sets: list[np.ndarray], left: list[int], right: list[int] | None, num:
     return out
 
 
-def _compare(num: int, den: int, within: bool):
-    """Links of a block: among its sets of side 1, or between those of side 0 and those of side 1."""
+def _sets(table, side=None):
+    rows = zip(table["node"].to_pylist(), table["body"].to_pylist(), table["side"].to_pylist())
+    by = {node: body for node, body, s in rows if side is None or s == side}
+    return list(by), [np.frombuffer(x, np.uint64) for x in by.values()], by
+
+
+def _edges(names, found):
+    return [names[i] for i, _ in found], [names[j] for _, j in found]
+
+
+def _first_pass(num: int, den: int):
+    """(a, b, body): links among a block's sets; and, of groups of several blocks, its own sets (side 1) themselves, with b null."""
+
+    def run(key, table):
+        names, sets, by = _sets(table)
+        a, b = _edges(names, links(sets, list(range(len(names))), None, num, den))
+        own = sorted(set(table.filter(pc.and_(pc.equal(table["side"], 1), pc.greater(table["chunks"], 1)))["node"].to_pylist()))
+        body = [None] * len(a) + [by[n] for n in own]
+        return pa.table({"a": pa.array(a + own, pa.int64()), "b": pa.array(b + [None] * len(own), pa.int64()), "body": pa.array(body, pa.binary())})
+
+    return run
+
+
+def _second_pass(num: int, den: int):
+    """(a, b): links between a block's sets of side 0 and those of side 1."""
 
     def run(key, table):
-        by = {}
-        for node, side, body in zip(*(table[n].to_pylist() for n in ("node", "side", "body"))):
-            by.setdefault((side, node), body)
-        nodes = sorted(by)
-        sets = [np.frombuffer(by[n], np.uint64) for n in nodes]
-        left = [i for i, n in enumerate(nodes) if n[0] == 0]
-        right = [i for i, n in enumerate(nodes) if n[0] == 1]
-        found = links(sets, right if within else left, None if within else right, num, den) if right and (within or left) else []
-        return pa.table({"a": pa.array([nodes[i][1] for i, _ in found], pa.int64()), "b": pa.array([nodes[j][1] for _, j in found], pa.int64())})
+        (left, x, _), (right, y, _) = _sets(table, 0), _sets(table, 1)
+        found = links(x + y, list(range(len(x))), list(range(len(x), len(x) + len(y))), num, den) if x and y else []
+        a, b = _edges(left + right, found)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _apart(sets, edges, block_sets: int, block_shingles: int):
-    """(node, parts, is_rest) of groups of several blocks that edges leave in several components: is_rest outside of the largest. parts: blocks of the rest."""
-    nodes = sets.where("chunks > 1").select("node", "grp", "n").distinct()
-    placed = stage(nodes.join(components(edges), "node", "left").select("node", "grp", "n", F.coalesce("component", "node").alias("c")), "near-placed", sets.sparkSession)
+def _apart(nodes, edges, block_sets: int, block_shingles: int):
+    """(node, grp, chunks, parts, is_rest) of groups of several blocks that edges leave in several components: is_rest outside of the largest. parts: blocks of the rest."""
+    several = nodes.where("chunks > 1").join(components(edges), "node", "left")
+    placed = stage(several.select("node", "grp", "n", "chunks", F.coalesce("component", "node").alias("c")), "near-placed", nodes.sparkSession)
     largest = placed.groupBy("grp", "c").agg(F.count("*").alias("k")).groupBy("grp").agg(F.max_by("c", F.struct("k", "c")).alias("largest"))
-    told = placed.join(largest, "grp").select("node", "grp", "n", (F.col("c") != F.col("largest")).alias("is_rest"))
+    told = placed.join(largest, "grp").select("node", "grp", "n", "chunks", (F.col("c") != F.col("largest")).alias("is_rest"))
     rest = told.where("is_rest").groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("parts"))
-    return told.join(rest, "grp").select("node", "parts", "is_rest")
+    return told.join(rest, "grp").select("node", "grp", "chunks", "parts", "is_rest")
 
 
-def confirmed(sets, num: int, den: int, block_sets: int, block_shingles: int):
-    """(node, component) of sets that links join. sets: a stored table (node, grp, n, size, chunks, body): of a group grp, named by its first node, in so many blocks.
+def confirmed(nodes, sets, num: int, den: int, block_sets: int, block_shingles: int):
+    """(node, component) of sets that links join. nodes: a stored table (node, grp, n, size, chunks): of a group grp, named by its first node, of so many sets in so many blocks. sets: the same with body, evaluated once.
 
     In the first pass a set goes to its block, and the group's first and about COMMON others to all of its blocks. Where
     that leaves one component, every link is within it. Elsewhere the sets outside the largest component meet all of
     the group in a second pass, so that all links between components are found.
     """
-    spark = sets.sparkSession
-    sets = sets.withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks").cast("int"))
+    spark, chunk = nodes.sparkSession, F.pmod(F.xxhash64("node"), "chunks").cast("int")
     often = F.least(F.lit(COMMON), F.greatest(F.lit(1), F.floor(F.col("size") / (8 * F.col("chunks")))))
     common = (F.col("node") == F.col("grp")) | (F.pmod(F.xxhash64("node", F.lit(1)), "size") < often)
     to = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    blocks = sets.select("grp", F.explode(F.when(common, to("chunks")).otherwise(F.array("chunk"))).alias("j"), F.lit(1).alias("side"), "node", "body")
-    first = stage(blocks.groupBy("grp", "j").applyInArrow(_compare(num, den, True), "a bigint, b bigint"), "near-links", spark)
+    blocks = sets.select("grp", "chunks", F.explode(F.when(common, to("chunks")).otherwise(F.array(chunk))).alias("j"), chunk.alias("own"), "node", "body")
+    blocks = blocks.select("grp", "j", "chunks", (F.col("own") == F.col("j")).cast("int").alias("side"), "node", "body")
+    out = stage(blocks.groupBy("grp", "j").applyInArrow(_first_pass(num, den), "a bigint, b bigint, body binary"), "near-links", spark)
+    first = out.where("b IS NOT NULL").select("a", "b")
     # merge: else a small table would be broadcast, and the same step would be another one on a larger input
-    apart = sets.join(stage(_apart(sets, first, block_sets, block_shingles), "near-apart", spark).hint("merge"), "node")
-    right = apart.select("grp", F.explode(to("parts")).alias("i"), F.col("chunk").alias("j"), F.lit(1).alias("side"), "node", "body")
-    left = apart.where("is_rest").select("grp", F.pmod(F.xxhash64("node", F.lit(2)), "parts").cast("int").alias("i"), F.explode(to("chunks")).alias("j"), F.lit(0).alias("side"), "node", "body")
-    second = stage(left.unionByName(right).groupBy("grp", "i", "j").applyInArrow(_compare(num, den, False), "a bigint, b bigint"), "near-more-links", spark)
+    apart = stage(_apart(nodes, first, block_sets, block_shingles), "near-apart", spark).hint("merge")
+    again = out.where("b IS NULL").select(F.col("a").alias("node"), "body").join(apart, "node")
+    right = again.select("grp", F.explode(to("parts")).alias("i"), chunk.alias("j"), F.lit(1).alias("side"), "node", "body")
+    left = again.where("is_rest").select("grp", F.pmod(F.xxhash64("node", F.lit(2)), "parts").cast("int").alias("i"), F.explode(to("chunks")).alias("j"), F.lit(0).alias("side"), "node", "body")
+    second = stage(left.unionByName(right).groupBy("grp", "i", "j").applyInArrow(_second_pass(num, den), "a bigint, b bigint"), "near-more-links", spark)
     return components(first.unionByName(second).where("a != b"))
 
 
@@ -258,7 +278,7 @@ def _grouped(docs, words: int, num: int, den: int, rows: int, miss: float, block
     sizes = members.groupBy("grp").agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("n") / block_shingles)).cast("int").alias("chunks"), F.count("*").alias("size"))
     wanted = stage(members.join(sizes, "grp").select(F.col("doc_id").alias("wanted_id"), "node", "grp", "n", "size", "chunks", "s1", "s2"), "near-wanted", spark)
     # merge: else a small wanted would be broadcast, and the same step would be another one on a larger input
-    texts = narrow(docs, doc_id="bigint", text="string").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "s1", "s2", "node", "grp", "n", "size", "chunks")
+    texts = narrow(docs, doc_id="bigint", text="string").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("wanted_id"))).select("text", "s1", "s2", "node", "grp", "size", "chunks")
 
     def full(batches):
         shingle = Shingler(words)
@@ -272,11 +292,10 @@ def _grouped(docs, words: int, num: int, den: int, rows: int, miss: float, block
                     if keep[-1]:
                         body.append(s.tobytes())
                 part = part.filter(pa.array(keep, pa.bool_()))
-                yield pa.RecordBatch.from_arrays([*part.columns[3:], pa.array(body, pa.binary())], ["node", "grp", "n", "size", "chunks", "body"])
+                yield pa.RecordBatch.from_arrays([*part.columns[3:], pa.array(body, pa.binary())], ["node", "grp", "size", "chunks", "body"])
 
-    sets = stage(texts.mapInArrow(full, "node bigint, grp bigint, n bigint, size bigint, chunks int, body binary"), "near-full", spark)
-    found = stage(confirmed(sets, num, den, block_sets, block_shingles), "near-found", spark)
-    drop(sets)
+    sets = texts.mapInArrow(full, "node bigint, grp bigint, size bigint, chunks int, body binary")
+    found = stage(confirmed(wanted, sets, num, den, block_sets, block_shingles), "near-found", spark)
     named = stage(found.join(reps.select("node", "doc_id", "h", "s1", "s2"), "node"), "near-named", spark)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("of")
     of_sets = named.join(named.groupBy("component").agg(first), "component").select("s1", "s2", F.col("of.doc_id").alias("c"), F.col("of.h").alias("first_h"))
