@@ -32,6 +32,14 @@ def test_jsonl(spark, tmp_path):
         jsonl.checked_paths("a/b/", "a/b")
 
 
+def test_required_values_of_json_lines(spark, tmp_path):
+    something, nothing = ['"0"', '"v"', "7", "0.5", "true", "[0]", '{"a":0}', '"false"', '"[]"', '" "'], ['""', "0", "0.0", "-0", "0e3", "false", "null", "[]", "{}"]
+    (tmp_path / "a.jsonl").write_text("".join(f'{{"version_id":{v},"text":"x"}}\n' for v in something + nothing) + '{"text":"x"}\n{"version_id":"0"}\n')
+    problems = [(r.line, r.problem) for r in jsonl.problems(spark, str(tmp_path / "a.jsonl"), "version_id string, text string").collect()]
+    assert problems == [*[(f'{{"version_id":{v},"text":"x"}}', "no version_id") for v in nothing], ('{"text":"x"}', "no version_id"), ('{"version_id":"0"}', "no key text")]
+    assert jsonl.problems(spark, str(tmp_path / "a.jsonl"), "version_id string, text string", required=()).count() == 1
+
+
 LAYOUT = '<document xmlns="urn:x"><page><block><par><line>{}</line><line>{}</line></par><par><line/></par></block></page><par><line>{}</line></par></document>'
 
 
