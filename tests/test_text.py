@@ -49,6 +49,21 @@ def test_as_python(spark, name):
     assert apply(spark, ours, [None]) == [None]
 
 
+@pytest.mark.parametrize("column", [fn.nfc, fn.canonical, boilerplate.between_markers, boilerplate.without_scan_headers, fn.clean_scan])
+def test_few_texts_at_a_time_go_to_python(spark, column):
+    names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
+    before = [spark.conf.get(n) for n in names]
+    try:
+        for asked, held in (("10000", 500), ("-1", 500), ("7", 7)):
+            spark.conf.set(names[0], asked)
+            spark.conf.set(names[1], "67108864b")
+            column(F.col("text"))
+            assert [int(spark.conf.get(n)) for n in names] == [held, 2 << 20]
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+
+
 def test_five_tokens(spark):
     assert apply(spark, fn.token_count(F.col("text")), ["naïve café—x_1 ²"]) == [5]
 

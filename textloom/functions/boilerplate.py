@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import on_texts
 from .text import SPACE, tidy, unix_lines
 
 # The archives' own notices.
@@ -28,6 +29,7 @@ def _drop_notices(text: str) -> dict:
     return {"text": text, "removed": n}
 
 
+@on_texts
 @F.pandas_udf(T.StructType().add("text", T.StringType()).add("removed", T.IntegerType()))
 def _leading_notices(s: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([_drop_notices(t) if t is not None else {"text": None, "removed": None} for t in s], columns=["text", "removed"])

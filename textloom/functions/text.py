@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import on_texts
+
 #: White space as Python's str.isspace() has it, without and with the brackets of a class; then without the line feed.
 SPACES = r"\x09-\x0D\x1C-\x20\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 SPACE = f"[{SPACES}]"
@@ -31,7 +33,7 @@ def _arrow(name, function):
         return s.map(function, na_action="ignore")
 
     of.__name__ = name
-    return F.pandas_udf(of, T.StringType())
+    return on_texts(F.pandas_udf(of, T.StringType()))
 
 
 _nfc = _arrow("nfc", lambda t: t if t.isascii() else unicodedata.normalize("NFC", t))

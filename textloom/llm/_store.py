@@ -1,10 +1,8 @@
 """Columns and batches of the operators' inputs. Intermediate tables are textloom.store's."""
 
+from textloom.functions.batches import BATCH_BYTES, BATCH_ROWS, short_batches  # noqa: F401  for the operators
 from textloom.store import drop, drop_path, new_path, shared_root, stage  # noqa: F401  for the operators
 
-#: Rows and bytes of an Arrow batch, at most.
-BATCH_ROWS, BATCH_BYTES = 500, 2 << 20
-
 
 def column(df, name: str, kind: str):
     """The column by its exact name, cast; a missing one is null. Extra columns of any name don't matter."""
@@ -14,14 +12,6 @@ def column(df, name: str, kind: str):
     return (df[f"`{found[0]}`"] if found else F.lit(None)).cast(kind).alias(name)
 
 
-def short_batches(spark) -> None:
-    """Rows of texts go to Python this many at a time: with the default of 10,000, long texts would fill a worker's memory, and the executor's."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-
-
 def narrow(df, **kinds: str):
     """Only the named columns, cast. The session's Arrow batches get short."""
     short_batches(df.sparkSession)
