@@ -76,6 +76,34 @@ def test_near_pairs(spark):
     assert [(r.a, r.b) for r in dedup.near_pairs(df).collect()] == [(1, 2)]
 
 
+def test_near_pairs_in_blocks(spark):
+    """All links, once each, wherever blocks part a group: against brute force; white space and capitals don't count."""
+    import random
+
+    rng = random.Random(4)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(80)] for _ in range(3)]
+    texts = []
+    for i in range(90):
+        w = list(base[i % 3])
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(80)] = f"x{rng.randrange(10**6)}"
+        texts.append(("\u2003" if i % 2 else " ").join(w).upper() if i % 5 == 0 else "  ".join(w))
+    texts += ["a b c", "A\tb c", " ", None, "a b d", texts[0]]
+    sets = []
+    for t in dict.fromkeys(t for t in texts if t):
+        w = t.lower().split()
+        if w:
+            sets.append((texts.index(t), {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))}))
+    want = sorted((a, b, len(s & t) / len(s | t)) for i, (a, s) in enumerate(sets) for b, t in sets[i + 1 :] if len(s & t) / len(s | t) >= 0.8)
+    assert len(want) > 100 and (90, 91, 1.0) in want
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for limits in ({}, {"block_sets": 7}, {"block_shingles": 500}, {"block_sets": 1}):
+        got = dedup.near_pairs(df, hashes=96, rows=3, **limits)
+        assert sorted(map(tuple, got.collect())) == want, limits
+    joins = [x for x in ("CartesianProduct", "BroadcastNestedLoopJoin") if x in got._jdf.queryExecution().toString()]
+    assert not joins and dedup.near_pairs(df.limit(0)).collect() == []
+
+
 def test_selection(spark):
     df = spark.createDataFrame([(0, "v1", "s", "high"), (1, "v2", "s", "low"), (2, "v3", "s", "high"), (3, "v4", "t", "high"), (4, "v5", "s", None)], "_ord int, version_id string, source string, resolution_confidence string")
     ids = lambda d: [r.version_id for r in d.orderBy("_ord").collect()]

@@ -8,6 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from textloom.functions import text as fn
+from textloom.functions.batches import short_batches
+from textloom.functions.shingles import Shingler, Signer
 from textloom.schema import PART_OR_VOLUME, tier_rank
 from textloom.store import stage
 
@@ -15,6 +17,8 @@ from textloom.store import stage
 PARAGRAPH = 80
 #: Tasks among which the rows of one digest are dealt.
 SALTS = 16
+#: Sets and shingles of a block of near_pairs(), on average at most.
+BLOCK_SETS, BLOCK_SHINGLES = 256, 500_000
 SORT = ("author", "work_id", "source_id", "version_id")
 
 
@@ -153,22 +157,98 @@ def cross_source_overlap(hashed):
     return one.select("source_a", F.explode(F.slice("s", F.col("i") + 2, F.size("s"))).alias("source_b")).groupBy("source_a", "source_b").agg(F.count("*").alias("shared"))
 
 
-def near_pairs(documents, key: str = "doc_id", words: int = 5, similarity: float = 0.8, hashes: int = 64, rows: int = 4):
-    """(a, b, jaccard): pairs of documents whose sets of word shingles are similar, by bands of minimal hashes, confirmed on the whole sets.
-
-    Documents of one text are one: the smallest key stands for them. Each shingle is hashed once for each minimum, in
-    SQL functions alone.
+def _near_sketch(words: int, bands: int, rows: int):
+    """Of (k, digest, text): (k, digest, n, bands), or the set of hashes in place of its bands where there are none to find. Texts without words are left out."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        shingle, signer = Shingler(words), Signer(bands, rows) if bands else None
+        for batch in batches:
+            out = []
+            for k, digest, text in zip(batch.column(0), batch.column(1), batch.column(2)):
+                s = shingle(" ".join(text.as_py().split()))
+                if len(s):
+                    out.append((k, digest, len(s), signer.bands(s) if signer else s.astype(np.uint64).tobytes()))
+            if out:
+                k, digest, n, last = zip(*out)
+                columns = [pa.array([x.as_py() for x in k], batch.column(0).type), pa.array([x.as_py() for x in digest], pa.string()), pa.array(n, pa.int64()), pa.array(last, pa.list_(pa.int64()) if signer else pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["k", "digest", "n", "last"])
+
+    return run
+
+
+def _near_within(similarity: float):
+    """Of the sets (k, one, other, body) of two blocks: (a, b, jaccard) of similar sets of the one and the other. Those of one block with itself are both."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(table):
+        keys, one, other = (table.column(c).to_pylist() for c in ("k", "one", "other"))
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("body")]
+        right = sorted((i for i in range(len(sets)) if other[i]), key=lambda i: len(sets[i]))
+        size = np.array([len(sets[i]) for i in right])
+        found = []
+        if right:
+            _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            at = np.split(codes, np.cumsum([len(x) for x in sets])[:-1])
+            flat, starts = np.concatenate([at[i] for i in right]), np.concatenate([[0], np.cumsum(size)])
+            flag = np.zeros(codes.max() + 1, np.int32)
+            for i in range(len(sets)):
+                if not one[i]:
+                    continue
+                n = len(sets[i])
+                # a set of another size can't be similar; rounding is left to the last test
+                low, high = np.searchsorted(size, n * similarity - 1), np.searchsorted(size, n / similarity + 1, "right")
+                if low >= high:
+                    continue
+                flag[at[i]] = 1
+                common = np.add.reduceat(flag[flat[starts[low] : starts[high]]], starts[low:high] - starts[low])
+                flag[at[i]] = 0
+                jaccard = common / (n + size[low:high] - common)
+                for j in np.flatnonzero(jaccard >= similarity):
+                    r = right[low + j]
+                    if i != r and not (one[r] and other[i] and keys[i] > keys[r]) and keys[i] != keys[r]:
+                        found.append((min(keys[i], keys[r]), max(keys[i], keys[r]), float(jaccard[j])))
+        kind = table.column("k").type
+        a, b, jaccard = zip(*found) if found else ((), (), ())
+        return pa.table([pa.array(a, kind), pa.array(b, kind), pa.array(jaccard, pa.float64())], ["a", "b", "jaccard"])
+
+    return run
+
+
+def near_pairs(documents, key: str = "doc_id", words: int = 5, similarity: float = 0.8, hashes: int = 64, rows: int = 4, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES):
+    """(a, b, jaccard): pairs of documents whose sets of word shingles are similar, by bands of minimal and maximal hashes, confirmed on the whole sets.
+
+    Documents of one text are one: the smallest key stands for them. A document's group is the smallest key in its
+    bands; groups are dealt to blocks of bounded size. Blocks that have a band in common are compared as a whole, so
+    that neither candidate pairs nor sets are multiplied by a group's members, but by its blocks.
     """
-    tokens = F.filter(F.split(F.lower("text"), rf"{fn.SPACE}+"), lambda w: w != "")
-    shingles = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - (words - 1), F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, words), " "))))
-    # by a digest: texts meet the narrow rows of their first key only
-    first = documents.where(F.col("text").isNotNull()).groupBy(F.sha2("text", 256).alias("digest")).agg(F.min(key).alias("k"))
-    texts = documents.select(F.col(key).alias("k"), "text", F.sha2("text", 256).alias("digest"))
-    sets = texts.join(first, ["k", "digest"], "left_semi").dropDuplicates(["k", "digest"]).select("k", tokens.alias("w")).where("size(w) > 0").select("k", shingles.alias("s"))
-    minimum = lambda i: F.array_min(F.transform("s", lambda x: F.xxhash64(x, F.lit(i))))
-    bands = F.array(*[F.xxhash64(F.lit(b), *[minimum(b * rows + r) for r in range(rows)]) for b in range(hashes // rows)])
-    banded = sets.select("k", F.explode(bands).alias("band"))
-    pairs = banded.withColumnRenamed("k", "a").join(banded.withColumnRenamed("k", "b"), "band").where("a < b").select("a", "b").distinct()
-    joined = pairs.join(sets.withColumnsRenamed({"k": "a", "s": "sa"}), "a").join(sets.withColumnsRenamed({"k": "b", "s": "sb"}), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return joined.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("jaccard")).where(F.col("jaccard") >= similarity)
+    spark = documents.sparkSession
+    short_batches(spark)
+    kind = dict(documents.select(F.col(key).alias("k")).dtypes)["k"]
+    texts = documents.where(F.col("text").isNotNull()).select(F.col(key).alias("k"), F.sha2("text", 256).alias("digest"), F.lower("text").alias("text"))
+    sketches = texts.mapInArrow(_near_sketch(words, hashes // rows, rows), f"k {kind}, digest string, n bigint, last array<bigint>")
+    # by a digest: of the rows of one text the first key's stays
+    nodes = sketches.groupBy("digest").agg(F.min(F.struct("k", "n", "last")).alias("x")).select("digest", "x.k", "x.n", F.col("x.last").alias("bands"))
+    nodes = stage(nodes, "near-nodes")
+    banded = nodes.select("k", "digest", "n", F.explode("bands").alias("band"))
+    heads = banded.groupBy("band").agg(F.min("k").alias("head"), F.count("*").alias("members")).where("members > 1").select("band", "head")
+    met = stage(banded.join(heads.hint("merge"), "band"), "near-met")
+    label = met.groupBy("k", "digest", "n").agg(F.min("head").alias("label"))
+    parts = label.groupBy("label").agg(F.ceil(F.greatest(F.count("*") / block_sets, F.sum("n") / block_shingles)).alias("parts"))
+    blocks = label.join(parts.hint("merge"), "label").select("k", "digest", F.xxhash64("label", F.pmod(F.xxhash64("digest"), "parts")).alias("block"))
+    blocks = stage(blocks, "near-blocks")
+    within = met.join(blocks.hint("merge"), ["k", "digest"]).groupBy("band", "block").agg(F.count("*").alias("members"))
+    # of one band only blocks are gathered
+    of_band = within.groupBy("band").agg(F.sort_array(F.collect_list(F.struct("block", "members"))).alias("x"))
+    at = of_band.select("x", F.posexplode("x").alias("i", "l")).select("l", F.explode(F.slice("x", F.col("i") + 1, F.size("x"))).alias("r"))
+    couples = at.where("l.block != r.block OR l.members > 1").select(F.col("l.block").alias("l"), F.col("r.block").alias("r")).distinct()
+    couples = stage(couples, "near-couples")
+    sides = couples.select("l", "r", F.explode(F.array_distinct(F.array("l", "r"))).alias("block"))
+    wanted = blocks.join(sides.select("block").distinct().hint("merge"), "block", "left_semi")
+    bodies = texts.join(wanted.select("k", "digest").hint("merge"), ["k", "digest"], "left_semi")
+    bodies = bodies.mapInArrow(_near_sketch(words, 0, 0), f"k {kind}, digest string, n bigint, body binary").dropDuplicates(["k", "digest"])
+    bodies = stage(bodies.join(blocks.hint("merge"), ["k", "digest"]).select("k", "block", "body"), "near-sets")
+    dealt = bodies.join(sides.hint("merge"), "block").select("l", "r", "k", (F.col("block") == F.col("l")).alias("one"), (F.col("block") == F.col("r")).alias("other"), "body")
+    return dealt.groupBy("l", "r").applyInArrow(_near_within(similarity), f"a {kind}, b {kind}, jaccard double")
