@@ -49,7 +49,7 @@ def test_as_python(spark, name):
     assert apply(spark, ours, [None]) == [None]
 
 
-@pytest.mark.parametrize("column", [fn.nfc, fn.canonical, boilerplate.between_markers, boilerplate.without_scan_headers, fn.clean_scan])
+@pytest.mark.parametrize("column", [fn.nfc, fn.canonical, boilerplate.between_markers, boilerplate.without_scan_headers, fn.clean_scan, markup.html_text, markup.text_of_epub])
 def test_few_texts_at_a_time_go_to_python(spark, column):
     names = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"]
     before = [spark.conf.get(n) for n in names]
